@@ -1,0 +1,5 @@
+"""No streaming operators: the workload is batch only.
+
+The row-local operators in ``tastemill.operators.sampling`` hold no state and
+accept a streaming DataFrame as they are.
+"""
