@@ -26,8 +26,8 @@ ROWS_PER_RESULT = 4_000_000
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids and factor matrix of one block, ordered by id."""
-    ids = table.column("id").to_numpy()
-    features = table.column("features").combine_chunks()
+    ids = table.column(0).to_numpy()
+    features = table.column(1).combine_chunks()
     if isinstance(features, pa.ChunkedArray):
         features = pa.concat_arrays(features.chunks)
     flat = features.flatten().to_numpy(zero_copy_only=False)
@@ -88,7 +88,13 @@ def factor_topk(
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     left = users.select("id", "features", block(user_blocks).alias("_ub"), each(item_blocks).alias("_ib"))
-    right = items.select("id", "features", each(user_blocks).alias("_ub"), block(item_blocks).alias("_ib"))
+    # Fresh names: with the same frame on both sides, shared columns would be pruned away.
+    right = items.select(
+        F.col("id").alias("item_id"),
+        F.col("features").alias("item_features"),
+        each(user_blocks).alias("_ub"),
+        block(item_blocks).alias("_ib"),
+    )
     id_type = users.schema["id"].dataType.simpleString()
     item_type = items.schema["id"].dataType.simpleString()
     arrow = {"int": pa.int32(), "bigint": pa.int64()}

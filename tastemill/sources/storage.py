@@ -83,25 +83,26 @@ class ArtifactStore:
     root: str
     source: str
 
-    def path(self, kind: str, **config) -> str:
-        return f"{self.root}/{kind}/{fingerprint(source=self.source, **config)}"
+    def path(self, folder: str, /, **config) -> str:
+        return f"{self.root}/{folder}/{fingerprint(source=self.source, **config)}"
 
     def frame(
         self,
-        kind: str,
+        folder: str,
         build: Callable[[], DataFrame],
+        /,
         sort_by: tuple[str, ...] = (),
         partition_by: tuple[str, ...] = (),
         **config,
     ) -> DataFrame:
-        path = self.path(kind, **config)
+        path = self.path(folder, **config)
         return materialize(build, self.spark, path, sort_by, partition_by, replace_incomplete=True)
 
-    def splits(self, build: Callable[[], DataFrame], **config) -> DataFrame:
+    def splits(self, build: Callable[[], DataFrame], /, **config) -> DataFrame:
         """Splits are stored in one folder per split, so reading one skips the others."""
         return self.frame("splits", build, sort_by=(USER, ITEM), partition_by=(SPLIT,), **config)
 
-    def model(self, fit: Callable[[], ALSModel], **config) -> ALSModel:
+    def model(self, fit: Callable[[], ALSModel], /, **config) -> ALSModel:
         """A stored model, fitted and saved first if need be.
 
         It is loaded back after saving: the stored factors carry no lineage.
