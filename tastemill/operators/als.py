@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -15,6 +16,8 @@ from tastemill.operators.topk import as_recommendations
 from tastemill.schema import ITEM, RATING, REVIEWED, USER
 from tastemill.session import ensure_checkpoint_dir
 
+RATINGS_PER_BLOCK = 1_000_000
+
 
 @dataclass(frozen=True)
 class ALSConfig:
@@ -36,15 +39,21 @@ class ALSConfig:
         return "implicit" if self.implicit else "explicit"
 
 
+def block_count(ratings: DataFrame) -> int:
+    """Blocks of about a million ratings; MLlib's fixed 10 would leave a large cluster idle."""
+    cores = ratings.sparkSession.sparkContext.defaultParallelism
+    by_size = math.ceil(ratings.count() / RATINGS_PER_BLOCK)
+    return max(min(10, cores), min(by_size, 4 * cores))
+
+
 def fit_als(ratings: DataFrame, config: ALSConfig) -> ALSModel:
     """Fit on ``rating`` or, if implicit, on ``is_reviewed``.
 
-    Blocks follow the cluster's parallelism, as MLlib's fixed 10 would leave a
-    large cluster idle. The seed is always set, so that a refit is comparable.
+    The seed is always set, so that a refit is comparable. Factors are cut loose
+    from their lineage every few iterations.
     """
-    spark = ratings.sparkSession
-    ensure_checkpoint_dir(spark)
-    blocks = config.blocks or max(10, spark.sparkContext.defaultParallelism)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    blocks = config.blocks or block_count(ratings)
     als = ALS(
         rank=config.rank,
         regParam=config.reg,

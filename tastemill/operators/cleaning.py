@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.operators.skew import hot_keys, spread_join
+from tastemill.operators.skew import apply_verdicts, key_verdicts
 from tastemill.schema import ITEM, RATING, READ, REVIEWED, TRIPLE, USER
+from tastemill.staging import Stage, stage_table
 
 
 def project_triples(df: DataFrame) -> DataFrame:
@@ -47,11 +48,12 @@ def active_users(df: DataFrame, threshold: int = 10) -> DataFrame:
     return counts.filter(F.col("n_rows") > check_threshold(threshold))
 
 
-def remove_low_users(df: DataFrame, threshold: int = 10, min_rows: int | None = None) -> DataFrame:
+def remove_low_users(
+    df: DataFrame, threshold: int = 10, stage: Stage = stage_table, min_rows: int | None = None
+) -> DataFrame:
     """Keep the interactions of active users; a threshold of 0 keeps everybody."""
     if check_threshold(threshold) == 0:
         return df
     counts = df.groupBy(USER).agg(F.count(F.lit(1)).alias("n_rows"))
-    low = counts.filter(F.col("n_rows") <= threshold)
-    hot = hot_keys(counts.filter(F.col("n_rows") > threshold), USER, "n_rows", min_rows)
-    return spread_join(df.filter(F.col(USER).isNotNull()), low.select(USER), USER, hot, "left_anti")
+    low = key_verdicts(counts, USER, F.col("n_rows") <= threshold, "n_rows", min_rows)
+    return apply_verdicts(df.filter(F.col(USER).isNotNull()), stage("low-users", low), USER, "left_anti")

@@ -7,13 +7,13 @@ adaptive skew rule cannot see it (it looks for a shuffle right below the sort).
 
 A key with very many rows is never exceptional: it is active, and it has train
 rows. The same aggregation that finds the exceptions tells which keys these
-are, so their rows need no partner and may go anywhere. ``spread_join`` spreads
-them evenly and matches only the rest.
+are, so their rows need no partner and may go anywhere. ``apply_verdicts``
+spreads them evenly and matches only the rest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
@@ -21,42 +21,49 @@ ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 100_000
 
 
-def hot_keys(
-    settled: DataFrame, key: str, n_col: str, min_rows: int | None = None, max_keys: int = MAX_HOT_KEYS
+def key_verdicts(
+    profile: DataFrame,
+    key: str,
+    exceptional: Column,
+    n_col: str,
+    min_rows: int | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The keys with the most rows among ``settled``, and into how many slices to cut each.
+    """``(key, *keep, slices)``: the exceptional keys, and the hottest of all others.
 
-    Bounded by construction: at most ``max_keys`` rows, so it is safe to broadcast.
-    Any key left out has at most ``1 / max_keys`` of all rows. The bound concerns
-    only this hint; no data row is dropped.
+    ``profile`` has one row per key. Exceptions have no ``slices``. The others
+    are listed only if they have more than ``min_rows`` rows, and at most
+    ``MAX_HOT_KEYS`` of them, which bounds the part that is broadcast; a hot key
+    left out has at most 1 / MAX_HOT_KEYS of all rows. No data row is dropped.
     """
     min_rows = min_rows or ROWS_PER_SLICE
-    slices = F.least(F.ceil(F.col(n_col) / F.lit(min_rows)), F.lit(MAX_SLICES))
-    return (
-        settled.filter(F.col(n_col) > min_rows)
+    slices = F.least(F.ceil(F.col(n_col) / F.lit(min_rows)), F.lit(MAX_SLICES)).cast("int")
+    listed = profile.filter(exceptional).select(key, *keep, F.lit(None).cast("int").alias("slices"))
+    hot = (
+        profile.filter(~exceptional & (F.col(n_col) > min_rows))
         .orderBy(F.desc(n_col), key)
-        .limit(max_keys)
-        .select(key, slices.cast("int").alias("_slices"))
+        .limit(MAX_HOT_KEYS)
+        .select(key, *keep, slices.alias("slices"))
     )
+    return listed.unionByName(hot)
 
 
-def spread_join(rows: DataFrame, exceptions: DataFrame, key: str, hot: DataFrame, how: str) -> DataFrame:
-    """Join ``rows`` with ``exceptions`` on ``key`` (``left`` or ``left_anti``).
+def apply_verdicts(rows: DataFrame, verdicts: DataFrame, key: str, how: str) -> DataFrame:
+    """Join ``rows`` with the exceptions among ``verdicts`` (``left`` or ``left_anti``).
 
-    ``hot`` comes from :func:`hot_keys` over keys that are not in ``exceptions``.
-    Their rows get a slice number and meet no partner; all others have slice 0.
-    The slice mixes in the partition number so that exact copies spread as well.
+    Rows of a hot key get a slice number and meet no partner; all others have
+    slice 0. The slice mixes in the partition number so that exact copies of a
+    row spread as well.
     """
     if how not in ("left", "left_anti"):
-        raise ValueError(f"spread_join keeps unmatched rows, so how={how!r} is not supported")
-    columns = rows.columns
-    slice_of_row = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.col("_slices"))
+        raise ValueError(f"rows without a partner must stay, so how={how!r} is not supported")
+    hot = verdicts.filter(F.col("slices").isNotNull()).select(key, "slices")
+    listed = verdicts.filter(F.col("slices").isNull()).drop("slices").withColumn("_slice", F.lit(0))
+    slice_of_row = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col("slices"))
     sliced = (
         rows.join(F.broadcast(hot), key, "left")
         .withColumn("_slice", F.coalesce(slice_of_row.cast("int"), F.lit(0)))
-        .drop("_slices")
+        .drop("slices")
     )
-    targets = exceptions.withColumn("_slice", F.lit(0))
-    extra = [c for c in exceptions.columns if c != key]
-    joined = sliced.join(targets, [key, "_slice"], how)
-    return joined.select(*columns, *(extra if how == "left" else []))
+    extra = [c for c in listed.columns if c not in (key, "_slice")] if how == "left" else []
+    return sliced.join(listed, [key, "_slice"], how).select(*rows.columns, *extra)

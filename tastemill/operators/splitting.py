@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.operators.sampling import DEFAULT_WEIGHTS, tag_splits
-from tastemill.operators.skew import hot_keys, spread_join
+from tastemill.operators.skew import apply_verdicts, key_verdicts
 from tastemill.schema import ITEM, SPLIT, TEST, TRAIN, USER, VAL
+from tastemill.staging import Stage, stage_table
 
 
 def user_profile(tagged: DataFrame) -> DataFrame:
@@ -22,21 +23,28 @@ def item_profile(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy(ITEM).agg(F.count_if(F.col(SPLIT) == TRAIN).alias("n_train"))
 
 
-def user_exceptions(profile: DataFrame, threshold: int = 0) -> DataFrame:
+def user_verdicts(
+    tagged: DataFrame, threshold: int = 0, move_unseen: bool = True, min_rows: int | None = None
+) -> DataFrame:
     """Users to drop (``low``: at most ``threshold`` rows) or to move to train (no train row)."""
-    low = F.col("n_rows") <= threshold
-    return profile.filter(low | (F.col("n_train") == 0)).select(USER, low.alias("low"))
+    low, unseen = F.col("n_rows") <= threshold, F.col("n_train") == 0
+    profile = user_profile(tagged).withColumn("low", low)
+    exceptional = (low | unseen) if move_unseen else low
+    return key_verdicts(profile, USER, exceptional, "n_rows", min_rows, keep=("low",))
+
+
+def unseen_users(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
+    return key_verdicts(user_profile(tagged), USER, F.col("n_train") == 0, "n_rows", min_rows)
 
 
-def hot_users(profile: DataFrame, threshold: int = 0, min_rows: int | None = None) -> DataFrame:
-    """The users with the most rows; none of them is an exception."""
-    settled = profile.filter((F.col("n_rows") > threshold) & (F.col("n_train") > 0))
-    return hot_keys(settled, USER, "n_rows", min_rows)
+def unseen_items(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
+    """Items without a train row; hot ones are judged by their train rows."""
+    return key_verdicts(item_profile(tagged), ITEM, F.col("n_train") == 0, "n_train", min_rows)
 
 
-def apply_user_exceptions(tagged: DataFrame, exceptions: DataFrame, hot: DataFrame) -> DataFrame:
+def apply_user_verdicts(tagged: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Drop the rows of low users and move those of the other exceptions to train."""
-    joined = spread_join(tagged, exceptions, USER, hot, "left")
+    joined = apply_verdicts(tagged, verdicts, USER, "left")
     return (
         joined.filter(~F.coalesce(F.col("low"), F.lit(False)))
         .withColumn(SPLIT, F.when(F.col("low").isNotNull(), TRAIN).otherwise(F.col(SPLIT)))
@@ -44,41 +52,27 @@ def apply_user_exceptions(tagged: DataFrame, exceptions: DataFrame, hot: DataFra
     )
 
 
-def put_back_users(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
+def put_back_users(tagged: DataFrame, stage: Stage = stage_table, min_rows: int | None = None) -> DataFrame:
     """Move the held-out rows of users that have no train row to train."""
-    profile = user_profile(tagged)
-    return apply_user_exceptions(
-        tagged, user_exceptions(profile), hot_users(profile, min_rows=min_rows)
-    )
+    return apply_user_verdicts(tagged, stage("users", user_verdicts(tagged, min_rows=min_rows)))
 
 
-def drop_unobserved_users(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
+def drop_unobserved_users(
+    tagged: DataFrame, stage: Stage = stage_table, min_rows: int | None = None
+) -> DataFrame:
     """Keep held-out rows only of users that have a train row."""
-    profile = user_profile(tagged)
-    unseen = profile.filter(F.col("n_train") == 0).select(USER)
-    return spread_join(tagged, unseen, USER, hot_users(profile, min_rows=min_rows), "left_anti")
-
+    return apply_verdicts(tagged, stage("users", unseen_users(tagged, min_rows)), USER, "left_anti")
 
-def item_exceptions(profile: DataFrame) -> DataFrame:
-    """Items without a train row."""
-    return profile.filter(F.col("n_train") == 0).select(ITEM)
 
-
-def hot_items(profile: DataFrame, min_rows: int | None = None) -> DataFrame:
-    """The items with the most train rows; none of them is an exception."""
-    return hot_keys(profile.filter(F.col("n_train") > 0), ITEM, "n_train", min_rows)
-
-
-def drop_unobserved_items(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
+def drop_unobserved_items(
+    tagged: DataFrame, stage: Stage = stage_table, min_rows: int | None = None
+) -> DataFrame:
     """Keep held-out rows only of items that have a train row.
 
     An unobserved item has no train row by definition, so taking away all its
     rows touches the held-out sets alone.
     """
-    profile = item_profile(tagged)
-    return spread_join(
-        tagged, item_exceptions(profile), ITEM, hot_items(profile, min_rows), "left_anti"
-    )
+    return apply_verdicts(tagged, stage("items", unseen_items(tagged, min_rows)), ITEM, "left_anti")
 
 
 def train_val_test_split(
@@ -87,6 +81,7 @@ def train_val_test_split(
     rm_unobserved: bool = True,
     weights: tuple[float, float, float] = DEFAULT_WEIGHTS,
     share: float = 0.5,
+    stage: Stage = stage_table,
     min_rows: int | None = None,
 ) -> DataFrame:
     """Tag every row with its split.
@@ -96,7 +91,7 @@ def train_val_test_split(
     tagged = tag_splits(df, seed, weights, share)
     if not rm_unobserved:
         return tagged
-    return drop_unobserved_items(put_back_users(tagged, min_rows), min_rows=min_rows)
+    return drop_unobserved_items(put_back_users(tagged, stage, min_rows), stage, min_rows)
 
 
 def pick(tagged: DataFrame, *splits: str) -> DataFrame:

@@ -18,6 +18,7 @@ from tastemill.schema import ITEM, RATING, SPLIT, TEST, TRAIN, TRIPLE, USER, VAL
 from tastemill.session import shared_dir
 from tastemill.sources import scans, star, storage
 from tastemill.sources.storage import ArtifactStore, materialize
+from tastemill.staging import stage_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -429,8 +430,13 @@ def _(spark, sf):
 # --- G: sampling and splitting --------------------------------------------------------------------
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A derived view as a stored table, for jobs that read it more than once."""
+    return stage_table(name, df)
+
+
 def _basket_rows(spark, sf):
-    return cleaning.remove_zeros(cleaning.project_triples(star.baskets(spark, sf)))
+    return cleaning.remove_zeros(cleaning.project_triples(_stored(star.baskets(spark, sf), "baskets")))
 
 
 def _tagged_baskets(spark, sf):
@@ -438,12 +444,12 @@ def _tagged_baskets(spark, sf):
 
 
 def _clean(spark, sf):
-    rated = cleaning.remove_zeros(star.interactions(spark, sf))
-    return cleaning.project_triples(cleaning.remove_low_users(rated))
+    facts = _stored(star.interactions(spark, sf), "interactions")
+    return cleaning.project_triples(cleaning.remove_low_users(cleaning.remove_zeros(facts)))
 
 
 def _split(spark, sf):
-    return prep.prep_splits(star.interactions(spark, sf), FULL_PREP)
+    return prep.prep_splits(_stored(star.interactions(spark, sf), "interactions"), FULL_PREP)
 
 
 @register("holdout_half", f"WITH {_SPLIT} SELECT * FROM tagged WHERE split <> 'train'")
@@ -478,9 +484,8 @@ def _(spark, sf):
 
 @register("prep_splits", f"WITH {_SPLIT} SELECT * FROM final")
 def _(spark, sf):
-    root = shared_dir(spark, "prep")
-    facts = materialize(star.interactions(spark, sf), spark, f"{root}/interactions")
-    return prep.load_splits(facts, FULL_PREP, ArtifactStore(spark, root, sf))
+    facts = _stored(star.interactions(spark, sf), "interactions")
+    return prep.load_splits(facts, FULL_PREP, ArtifactStore(spark, shared_dir(spark, "prep"), sf))
 
 
 @register("final_fit_frame", f"WITH {_SPLIT} SELECT user_id, book_id, rating FROM final WHERE split IN ('train', 'val')")
@@ -700,9 +705,8 @@ QUICK = ALSConfig(rank=10, reg=0.01)
 
 def _ratings(spark, sf):
     """The split as a stored table, so that a fit does not recompute the derived view."""
-    root = shared_dir(spark, "model-input")
-    facts = materialize(star.interactions(spark, sf), spark, f"{root}/interactions")
-    return facts, prep.load_splits(facts, FULL_PREP, ArtifactStore(spark, root, sf))
+    facts = _stored(star.interactions(spark, sf), "interactions")
+    return facts, _stored(prep.prep_splits(facts, FULL_PREP), "splits")
 
 
 def _als(spark, sf, implicit: bool):

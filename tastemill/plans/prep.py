@@ -11,18 +11,9 @@ from tastemill.functions.hashing import validate_fraction
 from tastemill.operators.audit import split_counts
 from tastemill.operators.cleaning import check_threshold, project_triples, remove_zeros
 from tastemill.operators.sampling import DEFAULT_WEIGHTS, downsample, tag_splits
-from tastemill.operators.skew import spread_join
-from tastemill.operators.splitting import (
-    apply_user_exceptions,
-    hot_items,
-    hot_users,
-    item_exceptions,
-    item_profile,
-    user_exceptions,
-    user_profile,
-)
-from tastemill.schema import ITEM
+from tastemill.operators.splitting import apply_user_verdicts, drop_unobserved_items, user_verdicts
 from tastemill.sources.storage import ArtifactStore
+from tastemill.staging import Stage, stage_table
 
 SAVED_FRACTIONS = (0.01, 0.05, 0.25, 1.0)
 
@@ -58,36 +49,27 @@ def sampled_rows(interactions: DataFrame, config: PrepConfig) -> DataFrame:
     return downsample(rows, config.fraction, config.seed)
 
 
-def prep_splits(interactions: DataFrame, config: PrepConfig, store: ArtifactStore | None = None) -> DataFrame:
+def prep_splits(interactions: DataFrame, config: PrepConfig, stage: Stage = stage_table) -> DataFrame:
     """Clean, sample and split; every row that is left carries its ``split``.
 
     The low-user filter and the put-back rule need the same per-user counts, so
-    one aggregation and one join serve both. With a ``store``, the key lists are
-    written and read back: their file sizes are then known, and Catalyst chooses
-    a broadcast for a list only where it is small enough.
+    one aggregation and one join serve both. In all, the rows are read three
+    times: for the user list, for the item list, and for the result.
     """
-
-    def staged(kind: str, df: DataFrame) -> DataFrame:
-        return df if store is None else store.frame(kind, lambda: df, **asdict(config))
-
     tagged = tag_splits(sampled_rows(interactions, config), config.seed, config.weights, config.share)
     if config.rm_unobserved or config.low_threshold:
-        users = staged("user-profile", user_profile(tagged))
-        listed = user_exceptions(users, config.low_threshold)
-        if not config.rm_unobserved:
-            listed = listed.filter(F.col("low"))
-        exceptions = staged("user-exceptions", listed)
-        tagged = apply_user_exceptions(tagged, exceptions, hot_users(users, config.low_threshold))
-    if config.rm_unobserved:
-        items = staged("item-profile", item_profile(tagged))
-        exceptions = staged("item-exceptions", item_exceptions(items))
-        tagged = spread_join(tagged, exceptions, ITEM, hot_items(items), "left_anti")
-    return tagged
+        listed = user_verdicts(tagged, config.low_threshold, config.rm_unobserved)
+        tagged = apply_user_verdicts(tagged, stage("users", listed))
+    return drop_unobserved_items(tagged, stage) if config.rm_unobserved else tagged
 
 
 def load_splits(interactions: DataFrame, config: PrepConfig, store: ArtifactStore) -> DataFrame:
     """The stored splits of this configuration, built first if need be."""
-    return store.splits(lambda: prep_splits(interactions, config, store), **asdict(config))
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        return store.frame(f"{name}-verdicts", lambda: df, **asdict(config))
+
+    return store.splits(lambda: prep_splits(interactions, config, stage), **asdict(config))
 
 
 def save_splits(

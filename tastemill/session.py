@@ -21,6 +21,8 @@ def build_session(app: str = "tastemill", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # A sweep runs more distinct plans than the default cache holds.
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     if master:
         builder = builder.master(master)

@@ -1,0 +1,51 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tastemill.operators import audit, cleaning
+from tastemill.sources import fixtures
+
+
+def test_small(spark):
+    small = fixtures.small(spark)
+    assert small.count() == 40
+    assert cleaning.remove_zeros(small).count() == 38
+    assert cleaning.relevant_items(small).count() == 15
+    assert audit.duplicate_pairs(small).count() == 0
+    assert small.agg(F.min("book_id"), F.max("book_id")).first()[:] == (101, 113)
+    assert rows(small.filter("rating = 0"), "user_id", "book_id") == [(1, 101), (2, 102)]
+
+
+def test_small_full(spark):
+    full = fixtures.small_full(spark)
+    assert rows(full.drop("is_reviewed")) == rows(fixtures.small(spark))
+    assert rows(full.groupBy("user_id").agg(F.sum("is_reviewed"))) == [(u, 3) for u in range(1, 11)]
+
+
+def test_large(spark):
+    large = fixtures.large(spark)
+    assert large.count() == 366
+    assert cleaning.distinct_users(large).count() == 60
+    assert cleaning.distinct_items(large).count() == 39
+    assert cleaning.active_users(large, 4).count() == 21
+    assert cleaning.active_users(large, 10).count() == 0
+    rated = cleaning.remove_zeros(large)
+    assert rated.count() == 360
+    assert cleaning.active_users(rated, 4).count() == 20
+    kept = cleaning.remove_low_users(rated, 4)
+    assert kept.count() == 200
+    assert kept.filter("user_id = 30").count() == 0
+
+
+def test_names(spark):
+    assert fixtures.synthetic(spark, "small", "full").columns[-1] == "is_reviewed"
+    with pytest.raises(ValueError):
+        fixtures.synthetic(spark, "large", "full")
+
+
+def test_threshold_zero_keeps_everything_and_bad_values_are_rejected(spark):
+    large = fixtures.large(spark)
+    assert cleaning.remove_low_users(large, 0) is large
+    for bad in (-1, 1.5, True):
+        with pytest.raises(ValueError):
+            cleaning.remove_low_users(large, bad)

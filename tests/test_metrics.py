@@ -1,0 +1,115 @@
+import math
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.ml.evaluation import RankingEvaluator
+from pyspark.mllib.evaluation import RankingMetrics
+from pyspark.sql import functions as F
+
+from tastemill.operators import labels as labels_
+from tastemill.operators import metrics
+from tastemill.sources import fixtures
+
+KNOWN = [
+    ([1, 6, 2, 7, 8, 3, 9, 10, 4, 5], [1, 2, 3, 4, 5]),
+    ([4, 1, 5, 6, 2, 7, 3, 8, 9, 10], [1, 2, 3]),
+    ([1, 2, 3], [9]),
+    ([1, 2], [2, 5, 6, 2]),
+]
+
+
+def frames(spark, pairs):
+    preds = [(u, i, r) for u, (pred, _) in enumerate(pairs) for r, i in enumerate(pred, 1)]
+    true = [(u, i) for u, (_, true) in enumerate(pairs) for i in true]
+    return (
+        spark.createDataFrame(preds, "user_id INT, book_id INT, rank INT"),
+        spark.createDataFrame(true, "user_id INT, book_id INT"),
+    )
+
+
+@pytest.mark.parametrize("k, ndcg, precision", [(2, 0.346713, 0.375), (3, 0.324020, 0.333333), (20, 0.439955, 0.1125)])
+def test_known_values(spark, k, ndcg, precision):
+    row = metrics.evaluate(*frames(spark, KNOWN), k).first()
+    assert row.users == 4
+    assert row.map == pytest.approx(0.307937, abs=1e-6)
+    assert row.ndcg == pytest.approx(ndcg, abs=1e-6)
+    assert row.precision == pytest.approx(precision, abs=1e-6)
+
+
+LISTS = st.lists(
+    st.tuples(
+        st.lists(st.integers(0, 15), min_size=1, max_size=10, unique=True),
+        st.lists(st.integers(0, 15), min_size=1, max_size=10),
+    ),
+    min_size=1,
+    max_size=6,
+)
+
+
+@given(LISTS, st.integers(1, 12))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+def test_equal_to_mllib(spark, pairs, k):
+    row = metrics.evaluate(*frames(spark, pairs), k).first()
+    theirs = RankingMetrics(spark.sparkContext.parallelize(pairs, 2))
+    assert row.map == pytest.approx(theirs.meanAveragePrecision, abs=1e-12)
+    assert row.ndcg == pytest.approx(theirs.ndcgAt(k), abs=1e-12)
+    assert row.precision == pytest.approx(theirs.precisionAt(k), abs=1e-12)
+
+
+def test_equal_to_ranking_evaluator(spark):
+    data = [([float(i) for i in pred], [float(i) for i in true]) for pred, true in KNOWN]
+    frame = spark.createDataFrame(data, "prediction ARRAY<DOUBLE>, label ARRAY<DOUBLE>")
+    row = metrics.evaluate(*frames(spark, KNOWN), 3).first()
+    for name, value in (("meanAveragePrecision", row.map), ("ndcgAtK", row.ndcg), ("precisionAtK", row.precision)):
+        assert RankingEvaluator(metricName=name, k=3).evaluate(frame) == pytest.approx(value, abs=1e-12)
+
+
+def test_users_missing_on_a_side_are_not_scored(spark):
+    preds = spark.createDataFrame([(1, 5, 1), (2, 5, 1)], "user_id INT, book_id INT, rank INT")
+    labels = spark.createDataFrame([(2, 5), (3, 5)], "user_id INT, book_id INT")
+    assert rows(metrics.pred_true_pairs(preds, labels), "user_id", "n_pred", "n_relevant", "hits") == [(2, 1, 1, [1])]
+    assert metrics.evaluate(preds, labels, 1, min_len=2).first().users == 0
+
+
+def test_ideal_is_cut_at_k(spark):
+    preds, labels = frames(spark, [([1], [1, 2, 3])])
+    assert metrics.evaluate(preds, labels, 1).first().ndcg == 1.0
+    want = (1 / math.log(2)) / (1 / math.log(2) + 1 / math.log(3))
+    assert metrics.evaluate(preds, labels, 2).first().ndcg == pytest.approx(want)
+
+
+def test_grouped_by_column(spark):
+    preds, labels = frames(spark, KNOWN)
+
+    def both(df):
+        return df.withColumn("weight", F.explode(F.array(F.lit(1.0), F.lit(2.0))))
+
+    single = metrics.evaluate(preds, labels, 3).first()
+    grouped = metrics.evaluate(both(preds), both(labels), 3, by=("weight",)).collect()
+    assert sorted(r.weight for r in grouped) == [1.0, 2.0]
+    assert all(r.map == pytest.approx(single.map) and r.users == 4 for r in grouped)
+
+
+def test_lists_to_rows(spark):
+    lists = spark.createDataFrame([(1, [7, 9])], "user_id INT, book_id ARRAY<INT>")
+    assert rows(metrics.explode_lists(lists)) == [(1, 7, 1), (1, 9, 2)]
+
+
+def test_labels(spark):
+    held = fixtures.small(spark).unionByName(fixtures.small(spark))
+    users, labels = labels_.eval_users_and_labels(held)
+    assert users.count() == 10
+    assert labels.count() == 15
+    lists = labels_.true_label_lists(labels)
+    assert rows(lists.filter("user_id = 1")) == [(1, 0, [102, 103, 104])]
+
+
+def test_long_label_lists_are_cut_into_parts(spark):
+    labels = spark.range(1000).select(F.lit(1).alias("user_id"), F.col("id").cast("int").alias("book_id"))
+    labels = labels.unionByName(spark.createDataFrame([(2, 5)], "user_id INT, book_id INT"))
+    parts = labels_.true_label_lists(labels, max_items=100).collect()
+    assert sorted(i for r in parts if r.user_id == 1 for i in r.true_item) == list(range(1000))
+    assert max(len(r.true_item) for r in parts) <= 110  # one bucket may run over
+    assert [r.true_item for r in parts if r.user_id == 2] == [[5]]
