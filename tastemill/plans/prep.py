@@ -12,6 +12,7 @@ from tastemill.operators.audit import split_counts
 from tastemill.operators.cleaning import check_threshold, project_triples, remove_zeros
 from tastemill.operators.sampling import DEFAULT_WEIGHTS, downsample, tag_splits
 from tastemill.operators.splitting import apply_user_verdicts, drop_unobserved_items, user_verdicts
+from tastemill.schema import SPLIT, TRAIN
 from tastemill.sources.storage import ArtifactStore
 from tastemill.staging import Stage, stage_table
 
@@ -69,7 +70,8 @@ def load_splits(interactions: DataFrame, config: PrepConfig, store: ArtifactStor
     def stage(name: str, df: DataFrame) -> DataFrame:
         return store.frame(f"{name}-verdicts", lambda: df, **asdict(config))
 
-    return store.splits(lambda: prep_splits(interactions, config, stage), **asdict(config))
+    schema = project_triples(interactions).withColumn(SPLIT, F.lit(TRAIN)).schema
+    return store.splits(lambda: prep_splits(interactions, config, stage), schema, **asdict(config))
 
 
 def save_splits(

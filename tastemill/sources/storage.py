@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tastemill.schema import ITEM, RESULTS_DDL, SPLIT, USER
 
@@ -50,9 +51,13 @@ def materialize(
     sort_by: tuple[str, ...] = (USER, ITEM),
     partition_by: tuple[str, ...] = (),
     replace_incomplete: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Read ``path`` if it is complete, else write it and read it back.
 
+    ``schema`` is needed for a partitioned table that may be empty, as such a
+    table has no file to take the schema from.
+
     A path that exists without its completion marker is someone else's folder or
     the rest of a crashed job. It is an error unless ``replace_incomplete`` says
     that the caller owns the path.
@@ -63,7 +68,7 @@ def materialize(
             raise FileExistsError(f"{path} exists but is not a finished table")
         df = df_or_build() if callable(df_or_build) else df_or_build
         write_frame(df, path, sort_by, partition_by, "overwrite" if exists else "errorifexists")
-    return spark.read.parquet(path)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def fingerprint(**config) -> str:
@@ -90,17 +95,18 @@ class ArtifactStore:
         self,
         folder: str,
         build: Callable[[], DataFrame],
-        /,
         sort_by: tuple[str, ...] = (),
         partition_by: tuple[str, ...] = (),
+        schema: StructType | None = None,
+        /,
         **config,
     ) -> DataFrame:
         path = self.path(folder, **config)
-        return materialize(build, self.spark, path, sort_by, partition_by, replace_incomplete=True)
+        return materialize(build, self.spark, path, sort_by, partition_by, True, schema)
 
-    def splits(self, build: Callable[[], DataFrame], /, **config) -> DataFrame:
+    def splits(self, build: Callable[[], DataFrame], schema: StructType, /, **config) -> DataFrame:
         """Splits are stored in one folder per split, so reading one skips the others."""
-        return self.frame("splits", build, sort_by=(USER, ITEM), partition_by=(SPLIT,), **config)
+        return self.frame("splits", build, (USER, ITEM), (SPLIT,), schema, **config)
 
     def model(self, fit: Callable[[], ALSModel], /, **config) -> ALSModel:
         """A stored model, fitted and saved first if need be.

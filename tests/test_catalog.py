@@ -1,0 +1,73 @@
+import re
+
+import pytest
+from conftest import SF
+
+import __spark_entry__ as spark_entry
+from check_oracles import compare, duck
+
+QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def test_every_oracle_belongs_to_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+    assert not any(re.match(r"op\d*_", name) or "pipeline" in name for name in QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_equal_to_sql(spark, con, name):
+    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_rows_only(spark, name):
+    assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_entry(spark):
+    row = spark_entry.entry(spark).first()
+    assert row.users > 0 and 0 <= row.map <= 1
+
+
+def plan(spark, name):
+    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["topk_list", "running_list", "hybrid_topk", "ranking_metrics"])
+def test_top_k_is_pruned_before_the_shuffle(spark, name):
+    assert "WindowGroupLimit" in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_no_cartesian_product_and_no_row_at_a_time_python(spark, name):
+    text = plan(spark, name)
+    assert "CartesianProduct" not in text
+    assert "BroadcastNestedLoopJoin" not in text
+    assert "BatchEvalPython" not in text
+
+
+@pytest.mark.parametrize("name", ["prep_splits", "train_val_test_split", "remove_low_users"])
+def test_only_bounded_lists_are_forced_to_broadcast(spark, name):
+    """A broadcast hint is given for the hot-key list alone; other sizes are Catalyst's call."""
+    df = QUERIES[name](spark, SF)
+    logical = df._jdf.queryExecution().analyzed().toString()
+    hinted = re.findall(r"ResolvedHint \(strategy=broadcast\)\n.*?Project \[(.*?)\]", logical)
+    assert all("slices" in columns for columns in hinted)
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = QUERIES["scan_parquet"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" not in text
+    from tastemill.operators.cleaning import remove_zeros
+    from tastemill.sources import star
+    from tastemill.staging import stage_table
+
+    stored = stage_table("scan", star.interactions(spark, SF))
+    text = remove_zeros(stored).select("user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(rating,0)" in text
+    assert re.search(r"ReadSchema: struct<user_id:bigint,rating:int>", text)
