@@ -16,7 +16,7 @@ from tastemill.operators.topk import as_recommendations
 from tastemill.schema import ITEM, RATING, REVIEWED, USER
 from tastemill.session import ensure_checkpoint_dir
 
-RATINGS_PER_BLOCK = 1_000_000
+SMALL_BLOCK, LARGE_BLOCK = 50_000, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,17 @@ class ALSConfig:
 
 
 def block_count(ratings: DataFrame) -> int:
-    """Blocks of about a million ratings; MLlib's fixed 10 would leave a large cluster idle."""
+    """How many user and item blocks to cut the ratings into.
+
+    MLlib's fixed 10 would leave a large cluster idle and split small data for
+    nothing: blocks of a million ratings when there are many, smaller ones to
+    occupy the cores when there are few.
+    """
     cores = ratings.sparkSession.sparkContext.defaultParallelism
-    by_size = math.ceil(ratings.count() / RATINGS_PER_BLOCK)
-    return max(min(10, cores), min(by_size, 4 * cores))
+    n = ratings.count()
+    few = min(math.ceil(n / SMALL_BLOCK), cores, 100)
+    many = min(math.ceil(n / LARGE_BLOCK), 4 * cores)
+    return max(1, few, many)
 
 
 def fit_als(ratings: DataFrame, config: ALSConfig) -> ALSModel:

@@ -385,9 +385,9 @@ def _factor_top(spark, sf):
     return factor_topk(vectors, vectors, 20)
 
 
-@register("factor_topk", f"{_FACTOR_TOP} SELECT user_id, book_id, rank, round(rating, 6) AS rating FROM t")
+@register("factor_topk", f"{_FACTOR_TOP} SELECT user_id, book_id, rank, rating FROM t")
 def _(spark, sf):
-    return _factor_top(spark, sf).select(USER, ITEM, "rank", F.round(RATING, 6).alias(RATING))
+    return _factor_top(spark, sf).select(USER, ITEM, "rank", RATING)
 
 
 @register("pred_labels", f"{_FACTOR_TOP} SELECT user_id, {_joined('rank')} AS book_id FROM t GROUP BY user_id")

@@ -5,6 +5,9 @@ from conftest import SF
 
 import __spark_entry__ as spark_entry
 from check_oracles import compare, duck
+from tastemill.operators.cleaning import remove_zeros
+from tastemill.sources import star
+from tastemill.staging import stage_table
 
 QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
 
@@ -19,9 +22,17 @@ def test_every_oracle_belongs_to_a_query():
     assert not any(re.match(r"op\d*_", name) or "pipeline" in name for name in QUERIES)
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equal_to_sql(spark, con, name):
-    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
+    df = QUERIES[name](spark, SF)
+    assert compare(df, con, ORACLES[name]) is None
+    text = plan(df)
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert unwanted not in text
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
@@ -34,21 +45,9 @@ def test_entry(spark):
     assert row.users > 0 and 0 <= row.map <= 1
 
 
-def plan(spark, name):
-    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.mark.parametrize("name", ["topk_list", "running_list", "hybrid_topk", "ranking_metrics"])
 def test_top_k_is_pruned_before_the_shuffle(spark, name):
-    assert "WindowGroupLimit" in plan(spark, name)
-
-
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_no_cartesian_product_and_no_row_at_a_time_python(spark, name):
-    text = plan(spark, name)
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
+    assert "WindowGroupLimit" in plan(QUERIES[name](spark, SF))
 
 
 @pytest.mark.parametrize("name", ["prep_splits", "train_val_test_split", "remove_low_users"])
@@ -61,13 +60,8 @@ def test_only_bounded_lists_are_forced_to_broadcast(spark, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = QUERIES["scan_parquet"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "l_extendedprice" not in text
-    from tastemill.operators.cleaning import remove_zeros
-    from tastemill.sources import star
-    from tastemill.staging import stage_table
-
+    assert "l_extendedprice" not in plan(QUERIES["scan_parquet"](spark, SF))
     stored = stage_table("scan", star.interactions(spark, SF))
-    text = remove_zeros(stored).select("user_id")._jdf.queryExecution().executedPlan().toString()
+    text = plan(remove_zeros(stored).select("user_id"))
     assert "GreaterThan(rating,0)" in text
     assert re.search(r"ReadSchema: struct<user_id:bigint,rating:int>", text)

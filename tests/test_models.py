@@ -68,10 +68,13 @@ def test_cold_start_rows_are_dropped(model, spark):
 
 
 def test_block_count_grows_with_the_ratings(spark, monkeypatch):
-    assert als.block_count(spark.range(10)) == 8
-    monkeypatch.setattr(als, "RATINGS_PER_BLOCK", 10)
-    assert als.block_count(spark.range(200)) == 20
-    assert als.block_count(spark.range(100_000)) == 32
+    assert als.block_count(spark.range(10)) == 1
+    monkeypatch.setattr(als, "SMALL_BLOCK", 10)
+    monkeypatch.setattr(als, "LARGE_BLOCK", 100)
+    assert als.block_count(spark.range(40)) == 4
+    assert als.block_count(spark.range(200)) == 8  # the cores
+    assert als.block_count(spark.range(2000)) == 20
+    assert als.block_count(spark.range(100_000)) == 32  # four per core
 
 
 def test_smoke_run(spark):
