@@ -5,10 +5,10 @@ never seen in train) and act on their rows. A plain join would send every row
 of a key to one task, and since the key list comes out of an aggregation, the
 adaptive skew rule cannot see it (it looks for a shuffle right below the sort).
 
-A key with very many rows is never exceptional: it is active, and it has train
-rows. The same aggregation that finds the exceptions tells which keys these
-are, so their rows need no partner and may go anywhere. ``apply_verdicts``
-spreads them evenly and matches only the rest.
+The aggregation that finds the exceptions also counts the rows of each key, so
+it can name the hottest keys. Their rows are cut into slices; an exception among
+them is repeated once per slice. Most hot keys are no exception (they are
+active, and they have train rows) and then cost nothing on the other side.
 """
 
 from __future__ import annotations
@@ -25,23 +25,23 @@ def key_verdicts(
     profile: DataFrame,
     key: str,
     exceptional: Column,
-    n_col: str,
     min_rows: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, *keep, slices)``: the exceptional keys, and the hottest of all others.
+    """``(key, *keep, slices)``: all exceptional keys, and the hottest keys of either kind.
 
-    ``profile`` has one row per key. Exceptions have no ``slices``. The others
-    are listed only if they have more than ``min_rows`` rows, and at most
-    ``MAX_HOT_KEYS`` of them, which bounds the part that is broadcast; a hot key
-    left out has at most 1 / MAX_HOT_KEYS of all rows. No data row is dropped.
+    ``profile`` has one row per key, with its number of rows as ``n_rows``.
+    Exceptions are listed with null ``slices``. A key of more than ``min_rows``
+    rows is also listed with its number of slices, the ``MAX_HOT_KEYS`` largest
+    ones at most: that bounds the part which is broadcast, and a key left out
+    has at most 1 / MAX_HOT_KEYS of all rows. No data row is dropped by this.
     """
     min_rows = min_rows or ROWS_PER_SLICE
-    slices = F.least(F.ceil(F.col(n_col) / F.lit(min_rows)), F.lit(MAX_SLICES)).cast("int")
+    slices = F.least(F.ceil(F.col("n_rows") / F.lit(min_rows)), F.lit(MAX_SLICES)).cast("int")
     listed = profile.filter(exceptional).select(key, *keep, F.lit(None).cast("int").alias("slices"))
     hot = (
-        profile.filter(~exceptional & (F.col(n_col) > min_rows))
-        .orderBy(F.desc(n_col), key)
+        profile.filter(F.col("n_rows") > min_rows)
+        .orderBy(F.desc("n_rows"), key)
         .limit(MAX_HOT_KEYS)
         .select(key, *keep, slices.alias("slices"))
     )
@@ -51,19 +51,23 @@ def key_verdicts(
 def apply_verdicts(rows: DataFrame, verdicts: DataFrame, key: str, how: str) -> DataFrame:
     """Join ``rows`` with the exceptions among ``verdicts`` (``left`` or ``left_anti``).
 
-    Rows of a hot key get a slice number and meet no partner; all others have
-    slice 0. The slice mixes in the partition number so that exact copies of a
+    The slice of a row mixes in its partition number, so that exact copies of a
     row spread as well.
     """
-    if how not in ("left", "left_anti"):
-        raise ValueError(f"rows without a partner must stay, so how={how!r} is not supported")
-    hot = verdicts.filter(F.col("slices").isNotNull()).select(key, "slices")
-    listed = verdicts.filter(F.col("slices").isNull()).drop("slices").withColumn("_slice", F.lit(0))
+    hot = F.broadcast(verdicts.filter(F.col("slices").isNotNull()).select(key, "slices"))
     slice_of_row = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col("slices"))
     sliced = (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(hot, key, "left")
         .withColumn("_slice", F.coalesce(slice_of_row.cast("int"), F.lit(0)))
         .drop("slices")
     )
+    every_slice = F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1)
+    listed = (
+        verdicts.filter(F.col("slices").isNull())
+        .drop("slices")
+        .join(hot, key, "left")
+        .withColumn("_slice", F.explode(every_slice))
+        .drop("slices")
+    )
     extra = [c for c in listed.columns if c not in (key, "_slice")] if how == "left" else []
     return sliced.join(listed, [key, "_slice"], how).select(*rows.columns, *extra)

@@ -11,35 +11,26 @@ from tastemill.schema import ITEM, SPLIT, TEST, TRAIN, USER, VAL
 from tastemill.staging import Stage, stage_table
 
 
-def user_profile(tagged: DataFrame) -> DataFrame:
-    """Rows and train rows per user; combined before the shuffle."""
-    return tagged.groupBy(USER).agg(
+def profile(tagged: DataFrame, key: str) -> DataFrame:
+    """Rows and train rows per user or item; combined before the shuffle."""
+    return tagged.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(SPLIT) == TRAIN).alias("n_train"),
     )
 
 
-def item_profile(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy(ITEM).agg(F.count_if(F.col(SPLIT) == TRAIN).alias("n_train"))
-
-
 def user_verdicts(
     tagged: DataFrame, threshold: int = 0, move_unseen: bool = True, min_rows: int | None = None
 ) -> DataFrame:
     """Users to drop (``low``: at most ``threshold`` rows) or to move to train (no train row)."""
     low, unseen = F.col("n_rows") <= threshold, F.col("n_train") == 0
-    profile = user_profile(tagged).withColumn("low", low)
-    exceptional = (low | unseen) if move_unseen else low
-    return key_verdicts(profile, USER, exceptional, "n_rows", min_rows, keep=("low",))
-
-
-def unseen_users(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
-    return key_verdicts(user_profile(tagged), USER, F.col("n_train") == 0, "n_rows", min_rows)
+    users = profile(tagged, USER).withColumn("low", low)
+    return key_verdicts(users, USER, (low | unseen) if move_unseen else low, min_rows, keep=("low",))
 
 
-def unseen_items(tagged: DataFrame, min_rows: int | None = None) -> DataFrame:
-    """Items without a train row; hot ones are judged by their train rows."""
-    return key_verdicts(item_profile(tagged), ITEM, F.col("n_train") == 0, "n_train", min_rows)
+def unseen(tagged: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """Users or items without a train row."""
+    return key_verdicts(profile(tagged, key), key, F.col("n_train") == 0, min_rows)
 
 
 def apply_user_verdicts(tagged: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -61,7 +52,7 @@ def drop_unobserved_users(
     tagged: DataFrame, stage: Stage = stage_table, min_rows: int | None = None
 ) -> DataFrame:
     """Keep held-out rows only of users that have a train row."""
-    return apply_verdicts(tagged, stage("users", unseen_users(tagged, min_rows)), USER, "left_anti")
+    return apply_verdicts(tagged, stage("users", unseen(tagged, USER, min_rows)), USER, "left_anti")
 
 
 def drop_unobserved_items(
@@ -72,7 +63,7 @@ def drop_unobserved_items(
     An unobserved item has no train row by definition, so taking away all its
     rows touches the held-out sets alone.
     """
-    return apply_verdicts(tagged, stage("items", unseen_items(tagged, min_rows)), ITEM, "left_anti")
+    return apply_verdicts(tagged, stage("items", unseen(tagged, ITEM, min_rows)), ITEM, "left_anti")
 
 
 def train_val_test_split(

@@ -88,22 +88,29 @@ def test_hot_copies_spread_and_survive(spark):
     assert kept.filter("book_id = 9").count() == 3000
     assert kept.filter("book_id <> 9 AND user_id <> 7").count() == rest.join(want, "user_id").count()
 
-    counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    verdicts = skew.key_verdicts(counts, "user_id", F.col("n") <= 4, "n", min_rows=50)
+    counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    verdicts = skew.key_verdicts(counts, "user_id", F.col("n_rows") <= 4, min_rows=50)
     assert rows(verdicts.filter("slices IS NOT NULL")) == [(7, 61)]
 
 
 def test_hot_list_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
-    profile = spark.range(100).select(F.col("id").alias("user_id"), (F.col("id") + 1).alias("n"))
-    verdicts = skew.key_verdicts(profile, "user_id", F.col("n") < 1, "n", min_rows=10)
+    profile = spark.range(100).select(F.col("id").alias("user_id"), (F.col("id") + 1).alias("n_rows"))
+    verdicts = skew.key_verdicts(profile, "user_id", F.col("n_rows") < 1, min_rows=10)
     assert [r[0] for r in rows(verdicts)] == [97, 98, 99]
 
 
-def test_spread_join_rejects_joins_that_lose_rows(spark):
-    df = fixtures.small(spark)
-    with pytest.raises(ValueError):
-        skew.apply_verdicts(df, df.select("user_id"), "user_id", "inner")
+def test_hot_exceptions_spread_too(spark):
+    """An item that makes up most of the table and is never in train."""
+    held = spark.range(3000).select(
+        F.lit(1).alias("user_id"), F.lit(9).alias("book_id"), F.lit(4).alias("rating"), F.lit("val").alias("split")
+    )
+    rest = sampling.tag_splits(fixtures.large(spark))
+    tagged = held.repartition(8).unionByName(rest)
+    got = splitting.drop_unobserved_items(tagged, min_rows=50)
+    assert rows(got) == rows(splitting.drop_unobserved_items(rest, min_rows=10**6))
+    only_held = tagged.filter("user_id = 1 AND split = 'val'")
+    assert splitting.put_back_users(only_held, min_rows=50).filter("split = 'train'").count() == 3000
 
 
 def test_audit_finds_a_broken_split(basket_rows):
