@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tastemill.operators.als import ALSConfig
 from tastemill.operators.splitting import pick
 from tastemill.plans.experiments import FINAL_REG, Run, final_test, partition_sweep, tune, tune_weight
-from tastemill.plans.prep import PrepConfig, load_splits, save_splits
+from tastemill.plans.prep import PrepConfig, load_splits, partitions_for, save_splits
 from tastemill.schema import ITEM, TRAIN, USER, VAL
 from tastemill.session import build_session
 from tastemill.sources.scans import read_csv, read_parquet
@@ -29,6 +29,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interactions", required=True, help="CSV file or Parquet table")
     parser.add_argument("--work", required=True, help="shared folder for stored artifacts and results")
     parser.add_argument("--low-threshold", type=int, default=10)
+    parser.add_argument(
+        "--coalesce", action="store_true", help="scale the partitions of fit inputs with the fraction"
+    )
     args = parser.parse_args(argv)
     if args.task == "hybrid-tune" and args.reg is None:
         parser.error("hybrid-tune needs rank and reg")
@@ -49,7 +52,9 @@ def run_task(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.task == "save-splits":
         return save_splits(full, store, low_threshold=args.low_threshold)
     tagged = load_splits(full, PrepConfig(args.fraction, low_threshold=args.low_threshold), store)
-    run = Run(args.fraction, VAL, args.k, store, f"{args.work}/results")
+    full_count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(args.fraction, full_count) if args.coalesce else None
+    run = Run(args.fraction, VAL, args.k, store, f"{args.work}/results", partitions)
     train, val = pick(tagged, TRAIN), pick(tagged, VAL)
     if args.task == "tune":
         return tune(train, val, run)

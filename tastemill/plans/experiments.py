@@ -24,7 +24,7 @@ from tastemill.operators.blend import (
     hybrid_top_k,
     weight_sweep,
 )
-from tastemill.operators.labels import eval_users_and_labels, true_labels
+from tastemill.operators.labels import eval_users_and_labels
 from tastemill.operators.metrics import evaluate
 from tastemill.operators.splitting import final_fit_frame, pick
 from tastemill.schema import ITEM, RESULTS_DDL, TEST, TRAIN, USER, VAL
@@ -38,13 +38,18 @@ FINAL_REG, FINAL_WEIGHT = 0.01, -1.0
 
 @dataclass(frozen=True)
 class Run:
-    """Where results belong: the sample, the evaluated split, and what may be stored."""
+    """Where results belong: the sample, the evaluated split, and what may be stored.
+
+    ``partitions`` coalesces the inputs of a fit; by default the partitioning is
+    left to Spark.
+    """
 
     fraction: float = 1.0
     split: str = VAL
     k: int = 500
     store: ArtifactStore | None = None
     results_path: str | None = None
+    partitions: int | None = None
 
     def tag(self) -> dict:
         return {"fraction": self.fraction, "split": self.split}
@@ -84,16 +89,16 @@ def get_recs(
     """
     watch = watch or Stopwatch()
     key = {**run.tag(), **asdict(config)}
+    if run.partitions:
+        train, users = train.coalesce(run.partitions), users.coalesce(run.partitions)
 
-    def model():
-        def fit():
-            return fit_als(train, config)
-
-        with watch.lap("fit_s"):
-            return fit() if run.store is None else run.store.model(fit, **key)
+    def fit():
+        return fit_als(train, config)
 
     def build():
-        return recommend_long(model(), users, run.k)
+        with watch.lap("fit_s"):
+            model = fit() if run.store is None else run.store.model(fit, **key)
+        return recommend_long(model, users, run.k)
 
     if run.store is None:
         return build()
@@ -258,16 +263,17 @@ def partition_sweep(
         for n_train, n_val, n_ids in itertools.product(train_counts, val_counts, id_counts):
             watch = Stopwatch()
             held = val.repartition(n_val, USER, ITEM)
-            users = eval_users_and_labels(held)[0].repartition(n_ids, USER)
+            users, labels = eval_users_and_labels(held)
+            users = users.repartition(n_ids, USER)
             with watch.lap("rec_s"):
                 model = fit_als(train.repartition(n_train, USER, ITEM), config)
-                recs = recommend_long(model, users, k)
-                with persisted(recs):
-                    recs.count()
-                    used = count_partitions(users), count_partitions(recs)
-                    with watch.lap("eval_s"):
-                        evaluate(recs, true_labels(held), k).first()
-            rows.append((n_train, n_val, n_ids, *used, watch.seconds["rec_s"] - watch.seconds["eval_s"], watch.seconds["eval_s"]))
+                recs = recommend_long(model, users, k).persist()
+                recs.count()
+            with watch.lap("eval_s"):
+                evaluate(recs, labels, k).first()
+            used = count_partitions(users), count_partitions(recs)
+            recs.unpersist()
+            rows.append((n_train, n_val, n_ids, *used, watch.seconds["rec_s"], watch.seconds["eval_s"]))
     return tagged.sparkSession.createDataFrame(rows, SWEEP_DDL)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tastemill import session
 from tastemill.plans import cli, prep
+from tastemill.plans.experiments import partition_sweep as sweep
+from tastemill.plans.experiments import tune as cli_tune
 from tastemill.sources import fixtures, scans, star, storage
 from tastemill.sources.storage import ArtifactStore, materialize
 
@@ -135,7 +137,7 @@ def test_every_task_runs(spark, csv_input, tmp_path, monkeypatch, task):
     small_grid = {"ranks": (2,), "regs": (0.1,)}
     monkeypatch.setattr(cli, "tune", lambda *a: cli_tune(*a, **small_grid))
     monkeypatch.setattr(cli, "partition_sweep", lambda tagged, k: sweep(tagged, k, (2,), (2,), (2,)))
-    args = cli.parse_args([task, "1", "5", "2", "0.1", "--interactions", csv_input, "--work", str(tmp_path)])
+    args = cli.parse_args([task, "1", "5", "2", "0.1", "--interactions", csv_input, "--work", str(tmp_path), "--coalesce"])
     result = cli.run_task(spark, args)
     want = {"tune": 1, "hybrid-tune": 5, "test": 2, "save-splits": 12, "coalesce-test": 1}[task]
     got = result.count()
@@ -143,6 +145,3 @@ def test_every_task_runs(spark, csv_input, tmp_path, monkeypatch, task):
     if task in ("tune", "hybrid-tune", "test"):
         assert storage.read_results(spark, f"{tmp_path}/results").count() == want
 
-
-from tastemill.plans.experiments import partition_sweep as sweep  # noqa: E402
-from tastemill.plans.experiments import tune as cli_tune  # noqa: E402
