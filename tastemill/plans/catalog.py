@@ -150,9 +150,16 @@ def _text(column: str):
     return F.array_join(F.col(column).cast("array<string>"), ",").alias(column)
 
 
-# --- A: sources and sinks -------------------------------------------------------------------------
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A derived view as a stored table, for jobs that read it more than once."""
+    return stage_table(name, df)
 
-_FACT_COLUMNS = "user_id INT, book_id INT, is_read INT, rating INT, is_reviewed INT"
+
+def _facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(star.interactions(spark, sf), "interactions")
+
+
+# --- A: sources and sinks -------------------------------------------------------------------------
 
 
 def _written_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
@@ -318,13 +325,13 @@ def _(spark, sf):
 # --- E, F: top-k and set operations ---------------------------------------------------------------
 
 
-def _explicit_scores(spark, sf):
-    return cleaning.remove_zeros(star.interactions(spark, sf)).select(*TRIPLE)
+def _explicit_scores(facts: DataFrame) -> DataFrame:
+    return cleaning.remove_zeros(facts).select(*TRIPLE)
 
 
-def _implicit_scores(spark, sf):
+def _implicit_scores(facts: DataFrame) -> DataFrame:
     signal = F.col("is_reviewed") + F.col("is_read")
-    return star.interactions(spark, sf).select(USER, ITEM, signal.alias(RATING)).filter(F.col(RATING) > 0)
+    return facts.select(USER, ITEM, signal.alias(RATING)).filter(F.col(RATING) > 0)
 
 
 @register(
@@ -332,7 +339,7 @@ def _implicit_scores(spark, sf):
     f"WITH {_INTER}, {_SCORES}, t AS ({_top('explicit_scores', 20)}) SELECT user_id, {_joined('rank')} AS book_id FROM t GROUP BY user_id",
 )
 def _(spark, sf):
-    return topk.topk_list(_explicit_scores(spark, sf), 20).select(USER, _text(ITEM))
+    return topk.topk_list(_explicit_scores(star.interactions(spark, sf)), 20).select(USER, _text(ITEM))
 
 
 @register(
@@ -341,7 +348,7 @@ def _(spark, sf):
     SELECT user_id, {_joined('rank')} AS book_id FROM t GROUP BY user_id HAVING COUNT(*) = 35""",
 )
 def _(spark, sf):
-    lists = topk.topk_list(_explicit_scores(spark, sf), 35)
+    lists = topk.topk_list(_explicit_scores(star.interactions(spark, sf)), 35)
     return topk.full_length(lists, 35).select(USER, _text(ITEM))
 
 
@@ -364,7 +371,7 @@ def _(spark, sf):
     SELECT user_id, array_to_string(list_sort(items), ',') AS book_id FROM l WHERE len(items) = 20""",
 )
 def _(spark, sf):
-    lists = topk.running_list(_implicit_scores(spark, sf), 20)
+    lists = topk.running_list(_implicit_scores(star.interactions(spark, sf)), 20)
     return lists.withColumn(ITEM, F.array_sort(ITEM)).select(USER, _text(ITEM))
 
 
@@ -430,11 +437,6 @@ def _(spark, sf):
 # --- G: sampling and splitting --------------------------------------------------------------------
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A derived view as a stored table, for jobs that read it more than once."""
-    return stage_table(name, df)
-
-
 def _basket_rows(spark, sf):
     return cleaning.remove_zeros(cleaning.project_triples(_stored(star.baskets(spark, sf), "baskets")))
 
@@ -444,12 +446,12 @@ def _tagged_baskets(spark, sf):
 
 
 def _clean(spark, sf):
-    facts = _stored(star.interactions(spark, sf), "interactions")
+    facts = _facts(spark, sf)
     return cleaning.project_triples(cleaning.remove_low_users(cleaning.remove_zeros(facts)))
 
 
 def _split(spark, sf):
-    return prep.prep_splits(_stored(star.interactions(spark, sf), "interactions"), FULL_PREP)
+    return prep.prep_splits(_facts(spark, sf), FULL_PREP)
 
 
 @register("holdout_half", f"WITH {_SPLIT} SELECT * FROM tagged WHERE split <> 'train'")
@@ -484,7 +486,7 @@ def _(spark, sf):
 
 @register("prep_splits", f"WITH {_SPLIT} SELECT * FROM final")
 def _(spark, sf):
-    facts = _stored(star.interactions(spark, sf), "interactions")
+    facts = _facts(spark, sf)
     return prep.load_splits(facts, FULL_PREP, ArtifactStore(spark, shared_dir(spark, "prep"), sf))
 
 
@@ -582,12 +584,17 @@ K = 20
 _PREDS = f"{_LABELS}, explicit_scores AS (SELECT user_id, book_id, rating FROM inter), preds AS ({_top('explicit_scores', K)})"
 
 
+def _labels_of(facts: DataFrame) -> DataFrame:
+    return labels.true_labels(splitting.pick(prep.prep_splits(facts, FULL_PREP), VAL))
+
+
 def _val_labels(spark, sf):
-    return labels.true_labels(splitting.pick(_split(spark, sf), VAL))
+    return _labels_of(_facts(spark, sf))
 
 
-def _preds(spark, sf):
-    return topk.top_k(cleaning.project_triples(star.interactions(spark, sf)), K)
+def _preds_and_labels(spark, sf):
+    facts = _facts(spark, sf)
+    return topk.top_k(cleaning.project_triples(facts), K), _labels_of(facts)
 
 
 @register(
@@ -609,7 +616,7 @@ def _(spark, sf):
     SELECT user_id, n_pred, n_relevant, n_hits FROM per_user""",
 )
 def _(spark, sf):
-    pairs = metrics.pred_true_pairs(_preds(spark, sf), _val_labels(spark, sf))
+    pairs = metrics.pred_true_pairs(*_preds_and_labels(spark, sf))
     return pairs.select(USER, "n_pred", "n_relevant", F.size("hits").cast("bigint").alias("n_hits"))
 
 
@@ -620,7 +627,7 @@ def _metric_query(name: str, column: str) -> None:
         SELECT user_id, round({column}, 9) AS {column} FROM per_user""",
     )
     def _(spark, sf):
-        pairs = metrics.pred_true_pairs(_preds(spark, sf), _val_labels(spark, sf))
+        pairs = metrics.pred_true_pairs(*_preds_and_labels(spark, sf))
         return metrics.user_metrics(pairs, K).select(USER, F.round(column, 9).alias(column))
 
 
@@ -642,7 +649,7 @@ def _rounded(df: DataFrame, *keys: str) -> DataFrame:
     f"WITH {_PREDS}, {_metric_ctes('preds', 'labels', K)} SELECT COUNT(*) AS users, {_MEANS} FROM per_user",
 )
 def _(spark, sf):
-    return _rounded(metrics.evaluate(_preds(spark, sf), _val_labels(spark, sf), K))
+    return _rounded(metrics.evaluate(*_preds_and_labels(spark, sf), K))
 
 
 # --- J: blending ----------------------------------------------------------------------------------
@@ -650,13 +657,13 @@ def _(spark, sf):
 _WEIGHTED = "CAST({w} AS DOUBLE) * rev_rating + rat_rating AS rating"
 
 
-def _score_lists(spark, sf, k):
-    return topk.top_k(_explicit_scores(spark, sf), k), topk.top_k(_implicit_scores(spark, sf), k)
+def _score_lists(facts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    return topk.top_k(_explicit_scores(facts), k), topk.top_k(_implicit_scores(facts), k)
 
 
 @register("blend_scores", f"WITH {_INTER}, {_blend_ctes(10)} SELECT * FROM blended")
 def _(spark, sf):
-    return blend.blend_scores(*_score_lists(spark, sf, 10))
+    return blend.blend_scores(*_score_lists(_facts(spark, sf), 10))
 
 
 @register(
@@ -665,7 +672,7 @@ def _(spark, sf):
     scored AS (SELECT user_id, book_id, {_WEIGHTED.format(w=0.5)} FROM blended) {_top('scored', 10)}""",
 )
 def _(spark, sf):
-    return blend.hybrid_top_k(*_score_lists(spark, sf, 10), 10, 0.5)
+    return blend.hybrid_top_k(*_score_lists(_facts(spark, sf), 10), 10, 0.5)
 
 
 @register(
@@ -675,7 +682,7 @@ def _(spark, sf):
     SELECT user_id, {_joined('rank')} AS book_id FROM t GROUP BY user_id HAVING COUNT(*) = 30""",
 )
 def _(spark, sf):
-    return blend.hybrid_lists(*_score_lists(spark, sf, 30), 30, -1).select(USER, _text(ITEM))
+    return blend.hybrid_lists(*_score_lists(_facts(spark, sf), 30), 30, -1).select(USER, _text(ITEM))
 
 
 _SWEEP_WEIGHTS = ", ".join(f"({w})" for w in blend.DEFAULT_WEIGHTS)
@@ -692,7 +699,8 @@ _SWEEP_WEIGHTS = ", ".join(f"({w})" for w in blend.DEFAULT_WEIGHTS)
     SELECT weight, COUNT(*) AS users, {_MEANS} FROM per_user GROUP BY weight""",
 )
 def _(spark, sf):
-    swept = blend.weight_sweep(*_score_lists(spark, sf, K), _val_labels(spark, sf), K)
+    facts = _facts(spark, sf)
+    swept = blend.weight_sweep(*_score_lists(facts, K), _labels_of(facts), K)
     return _rounded(swept, blend.WEIGHT)
 
 
@@ -705,7 +713,7 @@ QUICK = ALSConfig(rank=10, reg=0.01)
 
 def _ratings(spark, sf):
     """The split as a stored table, so that a fit does not recompute the derived view."""
-    facts = _stored(star.interactions(spark, sf), "interactions")
+    facts = _facts(spark, sf)
     return facts, _stored(prep.prep_splits(facts, FULL_PREP), "splits")
 
 
