@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +63,28 @@ def in_slices(batches: Batches, size: int = 16_000_000) -> Batches:
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of the texts, one text after the other, and each text's number of words.
+
+    Words are what stands between ASCII white space, with A-Z in lower case.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    offsets = words.offsets.to_numpy()
+    flat = words.flatten()
+    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate([[0], np.cumsum(real)])
+    per_text = before[offsets[1:] - offsets[0]] - before[offsets[:-1] - offsets[0]]
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    known = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)
+    return known[coded.indices.to_numpy()] if len(known) else known, per_text
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection on 64-bit integers that spreads all bits (multiply and shift, twice)."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))

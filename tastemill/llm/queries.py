@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, rans_blocks
+from tastemill.llm import bpe_tree, minhash_oph, rans_blocks
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +35,13 @@ def op5_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_blocks.read_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_oph.near_duplicates(documents(spark, sf_dir), minhash_oph.Settings(words=4))
+
+
 BUILDERS: dict[str, Builder] = {
     "op3_bpe_tree": op3_bpe_tree,
     "op5_rans_blocks": op5_rans_blocks,
+    "op10_minhash_oph": op10_minhash_oph,
 }
 ORACLES: dict[str, str] = {}
