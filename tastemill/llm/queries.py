@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, minhash_oph, rans_blocks
+from tastemill.llm import bpe_tree, line_align, minhash_oph, rans_blocks
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op5_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_blocks.read_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_align.remove_repeated(documents(spark, sf_dir).select("doc_id", "text"), gone_column="lines", holders_column="holder_ids")
+    deleted = F.coalesce(F.size("lines"), F.lit(0))
+    return cleaned.select("doc_id", F.greatest(deleted, F.lit(0)).cast("bigint").alias("n_deleted"), F.coalesce("lines", F.array().cast("array<int>")).alias("deleted_lines"), F.coalesce("holder_ids", F.array().cast("array<bigint>")).alias("holder_ids"), "text")
+
+
 def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_oph.near_duplicates(documents(spark, sf_dir), minhash_oph.Settings(words=4))
 
@@ -42,6 +48,7 @@ def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
 BUILDERS: dict[str, Builder] = {
     "op3_bpe_tree": op3_bpe_tree,
     "op5_rans_blocks": op5_rans_blocks,
+    "op6_line_align": op6_line_align,
     "op10_minhash_oph": op10_minhash_oph,
 }
 ORACLES: dict[str, str] = {}
