@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, line_align, minhash_oph, rans_blocks
+from tastemill.llm import bpe_tree, line_align, minhash_oph, rans_blocks, toxic_segments
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def held_out(every: int, rest: int) -> Column:
+    """Whether a doc_id belongs to the rows that are kept for a test."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(every)) == rest, F.lit(False))
+
+
+def op2_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out(3, 1))
+    scored = toxic_segments.score(docs, toxic_segments.fit(docs, labels), "score", "segments")
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "segments")
+
+
 def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_tree.encode_decode(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
     return coded.select(
@@ -46,6 +58,7 @@ def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDERS: dict[str, Builder] = {
+    "op2_toxic_segments": op2_toxic_segments,
     "op3_bpe_tree": op3_bpe_tree,
     "op5_rans_blocks": op5_rans_blocks,
     "op6_line_align": op6_line_align,
