@@ -65,12 +65,22 @@ def in_slices(batches: Batches, size: int = 16_000_000) -> Batches:
             start = stop
 
 
+def split_words(texts: pa.Array) -> pa.Array:
+    """Lists of what stands between the ASCII white space of each text, empty strings included.
+
+    Arrow's own split at white space depends on the locale and can cut a letter in two.
+    """
+    for space in SPACES[1:]:
+        texts = pc.replace_substring(texts, space, SPACES[0])
+    return pc.split_pattern(texts, SPACES[0])
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of the texts, one text after the other, and each text's number of words.
 
     Words are what stands between ASCII white space, with A-Z in lower case.
     """
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    words = split_words(pc.ascii_lower(texts.cast(pa.large_string())))
     offsets = words.offsets.to_numpy()
     flat = words.flatten()
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

@@ -4,9 +4,10 @@ Training: in labelled documents, the documents that hold a token are counted by
 class, and likewise for the first five and the first four letters of tokens. A
 token's toxic share has a Dirichlet prior centred on the share of its five
 letters in other tokens, theirs on the share of the four, and that on the overall
-share, so an unseen form of a known stem has a score too. A token's score is its log-odds
-against the overall share, less two standard errors, if that is positive; every
-token also costs ``DRIFT``, so the expected score of a text is negative.
+share, so an unseen form of a known stem has a score too. A token's score is the
+log-odds of its share, less two standard errors, against the overall share, if
+that is large enough to count. A token scores where it first occurs in a text;
+every token costs ``DRIFT``, so the expected score of a text is negative.
 
 Scan: all maximal scoring segments of a text are found in one pass over its
 positive tokens (Ruzzo and Tompa). Between random tokens the best segment's score
@@ -29,6 +30,7 @@ columns are no input of a score.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,15 +39,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import Batches, fresh_name, id_and_text, in_slices
+from tastemill.llm.common import Batches, fresh_name, id_and_text, in_slices, split_words
 from tastemill.staging import stage_table
 
 SAMPLE = 200_000
 LEXICON = 200_000
 #: Weight of the prior, in documents.
 PRIOR = 4.0
-#: Standard errors that are taken off a token's log-odds.
+#: Standard errors that are taken off a token's toxic share.
 ERRORS = 2.0
+#: Least log-odds of a token that count, after that; smaller ones tell languages and topics apart.
+LEAST = 1.0
 DRIFT = 0.05
 TRIM = ".,;:!?|*$%&#\"'()[]{}<>"
 #: Scores are counted in steps of this size for the extreme-value law.
@@ -54,7 +58,7 @@ STEP = 0.25
 
 def token_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Number of each token in the list of different tokens, and tokens per text."""
-    words = pc.ascii_split_whitespace(pc.utf8_lower(texts.cast(pa.large_string())))
+    words = split_words(pc.utf8_lower(texts.cast(pa.large_string())))
     offsets = words.offsets.to_numpy()
     flat = pc.ascii_trim(words.flatten(), TRIM)
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
@@ -86,14 +90,24 @@ class Model:
                 return score
         return 0.0
 
-    def evidence(self, texts: pa.Array) -> list[list[tuple[int, int, float]]]:
-        """Significant segments of each text: first and last token, and score beyond chance."""
+    def scored(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """Tokens of each text and their scores; a token scores where it first occurs, as repetition shows nothing new."""
         codes, per_text, tokens = token_codes(texts)
-        scores = np.array([self.token_score(t) for t in tokens])[codes] if tokens else np.zeros(0)
-        out, end = [], 0
+        scores = np.array([self.token_score(t) for t in tokens])
+        end = 0
         for n in per_text.tolist():
-            own = scores[end : end + n]
+            own = codes[end : end + n]
             end += n
+            values = scores[own] if n else np.zeros(0)
+            places = np.flatnonzero(values > 0)
+            again = np.delete(places, np.unique(own[places], return_index=True)[1])
+            values[again] = 0.0
+            yield n, values
+
+    def evidence(self, texts: pa.Array) -> list[list[tuple[int, int, float]]]:
+        """Significant segments of each text: first and last token, and score beyond chance."""
+        out = []
+        for n, own in self.scored(texts):
             chance = math.log(max(n, 1)) + self.offset
             found = []
             for first, last, score in segments(np.flatnonzero(own > 0).tolist(), own):
@@ -168,9 +182,11 @@ def _lexicon(counts: DataFrame, share: float) -> dict[str, float]:
             o1, o0 = F.greatest(F.col("p1") - F.col("n1"), none), F.greatest(F.col("p0") - F.col("n0"), none)
             own = own.withColumn("up", (o1 + PRIOR * F.col("p_up")) / (o1 + o0 + PRIOR))
         a, b = F.col("n1") + PRIOR * F.col("up"), F.col("n0") + PRIOR * (1 - F.col("up"))
-        gain = F.log(a / b) - math.log(share / (1 - share)) - ERRORS * F.sqrt(1 / a + 1 / b)
+        mean, n = a / (a + b), a + b
+        low = F.greatest(mean - ERRORS * F.sqrt(mean * (1 - mean) / (n + 1)), F.lit(1e-9))
+        gain = F.log(low / (1 - low)) - math.log(share / (1 - share))
         return own.select(
-            F.lit(mark).alias("kind"), "t", "n1", "n0", "up", F.greatest(gain, F.lit(0.0)).alias("s"), (F.col("n1") + F.col("n0")).alias("n")
+            F.lit(mark).alias("kind"), "t", "n1", "n0", "up", F.when(gain >= LEAST, gain).otherwise(0.0).alias("s"), (F.col("n1") + F.col("n0")).alias("n")
         )
 
     four = level("4", None, 0)
@@ -193,10 +209,11 @@ def _decay(docs: DataFrame, model: Model) -> float:
     def run(batches: Batches) -> Batches:
         steps: dict[int, int] = {}
         for batch in in_slices(batches):
-            codes, _, tokens = token_codes(batch.column("text"))
-            of_token = np.round(np.array([model.token_score(t) for t in tokens]) / STEP).astype(np.int64)
-            for step, n in enumerate(np.bincount(of_token[codes]) if tokens else []):
-                steps[step] = steps.get(step, 0) + int(n)
+            for _, values in model.scored(batch.column("text")):
+                positive = values[values > 0]
+                steps[0] = steps.get(0, 0) + len(values) - len(positive)
+                for step, n in zip(*np.unique(np.round(positive / STEP).astype(np.int64), return_counts=True)):
+                    steps[int(step)] = steps.get(int(step), 0) + int(n)
         yield pa.RecordBatch.from_arrays([pa.array(list(steps), pa.int64()), pa.array(list(steps.values()), pa.int64())], ["step", "n"])
 
     rows = docs.select("text").mapInArrow(run, "step bigint, n bigint").groupBy("step").agg(F.sum("n").alias("n")).collect()
@@ -242,12 +259,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def best(batches: Batches) -> Batches:
         for batch in in_slices(batches):
-            codes, per_text, tokens = token_codes(batch.column("text"))
-            scores = np.array([bare.token_score(t) for t in tokens])[codes] if tokens else np.zeros(0)
-            top, end = [], 0
-            for n in per_text.tolist():
-                own = scores[end : end + n]
-                end += n
+            top = []
+            for n, own in bare.scored(batch.column("text")):
                 top.append(decay * max((s for *_, s in segments(np.flatnonzero(own > 0).tolist(), own)), default=0.0) - math.log(max(n, 1)))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(top)], ["toxic", "top"])
 
