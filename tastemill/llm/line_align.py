@@ -197,7 +197,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     bounds = held.groupBy("run").agg(F.min("key").alias("a"), F.max("key").alias("z"))
     shared = stage_table("shared", bounds.filter("a != z").select("run", "a"))
     pairs = stage_table("pairs", held.join(shared, "run").filter("key != a").select("a", F.col("key").alias("b")).distinct())
-    one = profiles.select("key", "lines", "words").dropDuplicates(["key"])
+    one = stage_table("one", profiles.select("key", "lines", "words").dropDuplicates(["key"]))
     left = pairs.join(one.select(F.col("key").alias("a"), F.col("lines").alias("a_lines"), F.col("words").alias("a_words")), "a")
     both = left.join(one.select(F.col("key").alias("b"), F.col("lines").alias("b_lines"), F.col("words").alias("b_words")), "b")
     kind = pairs.schema["a"].dataType.simpleString()
@@ -218,7 +218,8 @@ def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, gone_column: st
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     row_key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), F.xxhash64(text).alias("h"))
-    joined = docs.withColumn(h, row_key).join(found, F.col(h) == F.col(key), "left")
+    # The list grows with the input: it is never broadcast, so that the plan is the same at every size.
+    joined = docs.withColumn(h, row_key).join(found.hint("merge"), F.col(h) == F.col(key), "left")
     rest = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col(gone), i)), "\n")
     columns = [F.when(F.col(gone).isNull(), F.col("text")).otherwise(rest).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     extra = [F.col(gone).alias(gone_column)] if gone_column else []
