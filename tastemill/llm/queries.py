@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, line_align, minhash_oph, rans_blocks, toxic_segments
+from tastemill.llm import bpe_tree, latent_leaks, line_align, minhash_oph, rans_blocks, toxic_segments
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_leaks.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def held_out(every: int, rest: int) -> Column:
     """Whether a doc_id belongs to the rows that are kept for a test."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(every)) == rest, F.lit(False))
@@ -58,6 +62,7 @@ def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDERS: dict[str, Builder] = {
+    "op1_latent_leaks": op1_latent_leaks,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_bpe_tree": op3_bpe_tree,
     "op5_rans_blocks": op5_rans_blocks,
