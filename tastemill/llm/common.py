@@ -80,7 +80,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     Words are what stands between ASCII white space, with A-Z in lower case.
     """
-    words = split_words(pc.ascii_lower(texts.cast(pa.large_string())))
+    # Lower case first: Arrow's ascii_lower misplaces slices of large strings.
+    words = split_words(pc.ascii_lower(texts).cast(pa.large_string()))
     offsets = words.offsets.to_numpy()
     flat = words.flatten()
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

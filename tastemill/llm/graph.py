@@ -8,7 +8,9 @@ shuffles on both sides, which the adaptive skew rule can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.staging import stage_table
@@ -44,3 +46,39 @@ def _small_star(edges: DataFrame) -> DataFrame:
     joined = edges.join(least, "hi")
     moved = joined.filter(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return moved.union(least.select("hi", F.col("m").alias("lo"))).distinct()
+
+
+def bucket_components(
+    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], possible: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """``(node, root)`` of the confirmed links between ``members (node, n, bucket)`` that share a bucket.
+
+    ``confirm`` keeps those of the candidate pairs ``(a, b)`` that are links;
+    ``possible`` says of two values of ``n`` whether a link can be at all.
+
+    First every member is tried with its bucket's smallest member: a star, whose
+    edges grow with the members. Where a bucket's members are still in different
+    components, the pairs across these components follow, so that no link inside
+    a bucket is lost. Pairs inside one component are never made.
+    """
+    centers = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("k"))
+    crowded = stage_table("crowded", centers.filter("k > 1").select("bucket", F.col("c.node").alias("a"), F.col("c.n").alias("a_n")))
+    inside = stage_table("inside", members.join(crowded, "bucket"))
+    star = inside.filter((F.col("node") > F.col("a")) & possible(F.col("n"), F.col("a_n"))).select("a", F.col("node").alias("b"))
+    star = stage_table("star", star.distinct())
+    links = confirm(star)
+    roots = components(links)
+
+    labelled = inside.select("bucket", "node", "n").join(roots, "node", "left")
+    labelled = stage_table("labelled", labelled.select("bucket", "node", "n", F.coalesce("root", "node").alias("root")))
+    ends = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    split = stage_table("split", ends.filter("x != y").select("bucket"))
+    open_ = stage_table("open", labelled.join(split, "bucket"))
+    parts = open_.select("bucket", "root").distinct()
+    across = parts.withColumnRenamed("root", "ra").join(parts.withColumnRenamed("root", "rb"), "bucket").filter("ra < rb")
+    left = open_.select("bucket", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("a_n"))
+    right = open_.select("bucket", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("b_n"))
+    pairs = across.join(left, ["bucket", "ra"]).join(right, ["bucket", "rb"]).filter(possible(F.col("a_n"), F.col("b_n")))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = confirm(stage_table("pairs", pairs.join(star, ["a", "b"], "left_anti")))
+    return components(links.union(more))

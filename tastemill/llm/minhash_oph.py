@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.llm.common import Batches, id_and_text, in_slices, list_array, mix, word_hashes
-from tastemill.llm.graph import components
+from tastemill.llm.graph import bucket_components
 from tastemill.staging import stage_table
 
 
@@ -170,30 +170,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("buckets").alias("buckets")),
     )
     members = classes.select("node", "n", F.explode("buckets").alias("bucket"))
-    centers = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("k"))
-    crowded = stage_table("crowded", centers.filter("k > 1").select("bucket", F.col("c.node").alias("a"), F.col("c.n").alias("a_n")))
-    inside = stage_table("inside", members.join(crowded, "bucket"))
-    star = inside.filter((F.col("node") != F.col("a")) & near_in_size(F.col("n"), F.col("a_n"), settings))
-    links = confirmed(stage_table("pairs", star.select("a", F.col("node").alias("b")).distinct()), docs, classes, settings)
-    roots = components(links)
-
-    # Buckets whose members are not all connected yet: pairs across their components.
-    labelled = inside.select("bucket", "node", "n").join(roots, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root")
+    roots = bucket_components(
+        members, lambda pairs: confirmed(pairs, docs, classes, settings), lambda a, b: near_in_size(a, b, settings)
     )
-    labelled = stage_table("labelled", labelled)
-    split = stage_table("split", labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("bucket"))
-    open_ = stage_table("open", labelled.join(split, "bucket"))
-    parts = open_.select("bucket", "root").distinct()
-    across = parts.withColumnRenamed("root", "ra").join(parts.withColumnRenamed("root", "rb"), "bucket").filter("ra < rb")
-    left = open_.select("bucket", F.col("root").alias("ra"), F.col("node").alias("a"), F.col("n").alias("a_n"))
-    right = open_.select("bucket", F.col("root").alias("rb"), F.col("node").alias("b"), F.col("n").alias("b_n"))
-    pairs = across.join(left, ["bucket", "ra"]).join(right, ["bucket", "rb"])
-    pairs = pairs.filter(near_in_size(F.col("a_n"), F.col("b_n"), settings)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tried = star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-    pairs = stage_table("pairs", pairs.distinct().join(tried.distinct(), ["a", "b"], "left_anti"))
-    more = confirmed(pairs, docs, classes, settings)
-    roots = components(links.union(more))
 
     # The smallest doc_id of each component, over its classes, carried back to all rows.
     named = classes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))

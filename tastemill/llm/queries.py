@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, latent_leaks, line_align, minhash_oph, rans_blocks, secret_parts, toxic_segments
+from tastemill.llm import bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, rans_blocks, secret_parts, toxic_segments
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op6_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", F.greatest(deleted, F.lit(0)).cast("bigint").alias("n_deleted"), F.coalesce("lines", F.array().cast("array<int>")).alias("deleted_lines"), F.coalesce("holder_ids", F.array().cast("array<bigint>")).alias("holder_ids"), "text")
 
 
+def op7_embedding_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_polytope.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_secret_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_parts.find_secrets(documents(spark, sf_dir))
     kinds = list(secret_parts.PLAIN)
@@ -76,6 +80,7 @@ BUILDERS: dict[str, Builder] = {
     "op3_bpe_tree": op3_bpe_tree,
     "op5_rans_blocks": op5_rans_blocks,
     "op6_line_align": op6_line_align,
+    "op7_embedding_polytope": op7_embedding_polytope,
     "op9_secret_parts": op9_secret_parts,
     "op10_minhash_oph": op10_minhash_oph,
 }
