@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, rans_blocks, secret_parts, toxic_segments
+from tastemill.llm import bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, pii_crf, rans_blocks, secret_parts, toxic_segments
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,14 @@ def op7_embedding_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_polytope.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_crf.find_personal_data(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint")
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii_crf.KINDS)]
+    base = F.sha2(pii_crf.joined_spans(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii_crf.joined_spans(F.col("spans")).alias("spans"))
+
+
 def op9_secret_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_parts.find_secrets(documents(spark, sf_dir))
     kinds = list(secret_parts.PLAIN)
@@ -81,6 +89,7 @@ BUILDERS: dict[str, Builder] = {
     "op5_rans_blocks": op5_rans_blocks,
     "op6_line_align": op6_line_align,
     "op7_embedding_polytope": op7_embedding_polytope,
+    "op8_pii_crf": op8_pii_crf,
     "op9_secret_parts": op9_secret_parts,
     "op10_minhash_oph": op10_minhash_oph,
 }
