@@ -79,7 +79,7 @@ class TreeEncoder:
             pieces = pc.split_pattern(marked, " ")
         n_pieces = pc.list_value_length(pieces).to_numpy()
         coded = pieces.flatten().dictionary_encode()
-        ids, lengths = self._encode_pieces(coded.dictionary)
+        ids, lengths = self.encode_pieces(coded.dictionary)
         which = coded.indices.to_numpy()
         per_piece = lengths[which]
         ends = np.concatenate([[0], np.cumsum(per_piece)])
@@ -89,7 +89,7 @@ class TreeEncoder:
         last = np.cumsum(n_pieces)
         return ids[at], ends[last] - ends[last - n_pieces]
 
-    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different pieces, one after the other, and their numbers.
 
         Short pieces are strung together with the spaces between them, as the

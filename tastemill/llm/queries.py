@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, pii_crf, rans_blocks, secret_parts, toxic_segments
+from tastemill.llm import attention_lm, bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, pii_crf, rans_blocks, secret_parts, toxic_segments
 from tastemill.session import shared_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", held_out(10, 0).alias("held_out"))
+    return attention_lm.score_texts(docs, "held_out", public_tokenizers.path(TOKENIZER))
+
+
 def op5_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "rans")
     rans_blocks.write_file(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), path)
@@ -86,6 +91,7 @@ BUILDERS: dict[str, Builder] = {
     "op1_latent_leaks": op1_latent_leaks,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_bpe_tree": op3_bpe_tree,
+    "op4_attention_lm": op4_attention_lm,
     "op5_rans_blocks": op5_rans_blocks,
     "op6_line_align": op6_line_align,
     "op7_embedding_polytope": op7_embedding_polytope,
