@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,7 @@ def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDERS: dict[str, Builder] = {
+    "pipeline": corpus_pipeline.run,
     "op1_latent_leaks": op1_latent_leaks,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_bpe_tree": op3_bpe_tree,
