@@ -53,16 +53,22 @@ def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def bounds(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """First and last position of stretches of about ``size`` bytes of text, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield start, stop
+        start = stop
+
+
 def in_slices(batches: Batches, size: int = 16_000_000) -> Batches:
     """The same rows in batches of about ``size`` bytes of text, to bound a worker's memory."""
     for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < batch.num_rows:
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        for start, stop in bounds(batch.column("text"), size):
             yield batch.slice(start, stop - start)
-            start = stop
 
 
 def split_words(texts: pa.Array) -> pa.Array:

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import Batches, fresh_name, id_and_text, in_slices, split_words
+from tastemill.llm.common import Batches, bounds, fresh_name, id_and_text, in_slices, split_words
 from tastemill.staging import stage_table
 
 SAMPLE = 200_000
@@ -287,13 +287,11 @@ def score(docs: DataFrame, model: Model, score_column: str, segments_column: str
     kind = "struct<score: double, segments: array<struct<first: int, last: int, beyond: double>>>"
 
     def of_texts(texts: pa.Array) -> pa.Array:
-        held, out, start = model_of.value, [], 0
+        held, out = model_of.value, []
         texts = pc.fill_null(texts, "")
-        while start < len(texts):
-            some = texts[start : start + 4000]
-            for found in held.evidence(some):
+        for start, stop in bounds(texts, 8_000_000):
+            for found in held.evidence(texts[start:stop]):
                 out.append({"score": held.probability(sum(x[2] for x in found)), "segments": [{"first": a, "last": b, "beyond": s} for a, b, s in found]})
-            start += 4000
         part = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("beyond", pa.float64())])
         return pa.array(out, pa.struct([("score", pa.float64()), ("segments", pa.list_(part))]))
 
