@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -16,8 +15,6 @@ from tastemill.operators.topk import as_recommendations
 from tastemill.schema import ITEM, RATING, REVIEWED, USER
 from tastemill.session import ensure_checkpoint_dir
 
-SMALL_BLOCK, LARGE_BLOCK = 50_000, 1_000_000
-
 
 @dataclass(frozen=True)
 class ALSConfig:
@@ -27,7 +24,10 @@ class ALSConfig:
     alpha: float = 1.0
     max_iter: int = 10
     seed: int = 42
-    blocks: int | None = None
+    #: User and item blocks. MLlib seeds the factors block by block, so this number is
+    #: part of what is fitted and does not follow the cluster; raise it with the data,
+    #: to about one block per million ratings.
+    blocks: int = 10
     checkpoint_interval: int = 5
 
     @property
@@ -39,20 +39,6 @@ class ALSConfig:
         return "implicit" if self.implicit else "explicit"
 
 
-def block_count(ratings: DataFrame) -> int:
-    """How many user and item blocks to cut the ratings into.
-
-    MLlib's fixed 10 would leave a large cluster idle and split small data for
-    nothing: blocks of a million ratings when there are many, smaller ones to
-    occupy the cores when there are few.
-    """
-    cores = ratings.sparkSession.sparkContext.defaultParallelism
-    n = ratings.count()
-    few = min(math.ceil(n / SMALL_BLOCK), cores, 100)
-    many = min(math.ceil(n / LARGE_BLOCK), 4 * cores)
-    return max(1, few, many)
-
-
 def fit_als(ratings: DataFrame, config: ALSConfig) -> ALSModel:
     """Fit on ``rating`` or, if implicit, on ``is_reviewed``.
 
@@ -60,7 +46,6 @@ def fit_als(ratings: DataFrame, config: ALSConfig) -> ALSModel:
     from their lineage every few iterations.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
-    blocks = config.blocks or block_count(ratings)
     als = ALS(
         rank=config.rank,
         regParam=config.reg,
@@ -72,8 +57,8 @@ def fit_als(ratings: DataFrame, config: ALSConfig) -> ALSModel:
         ratingCol=config.rating_col,
         coldStartStrategy="drop",
         seed=config.seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=config.blocks,
+        numItemBlocks=config.blocks,
         checkpointInterval=config.checkpoint_interval,
     )
     return als.fit(ratings.select(int_id(USER), int_id(ITEM), F.col(config.rating_col).cast("float")))

@@ -26,7 +26,7 @@ def attach_review_flag(split: DataFrame, full: DataFrame) -> DataFrame:
 
 
 def blend_scores(explicit: DataFrame, implicit: DataFrame) -> DataFrame:
-    """``(user_id, book_id, rat_rating, rev_rating)`` of items on either list, 0 where missing.
+    """``(user_id, book_id, from_ratings, from_reviews)`` of items on either list, 0 where missing.
 
     This is the full outer join of two lists with unique (user, item) keys,
     written as one aggregation. Lists hold at most k items per user, so placing
@@ -34,21 +34,21 @@ def blend_scores(explicit: DataFrame, implicit: DataFrame) -> DataFrame:
     """
     none = F.lit(0.0)
     stacked = explicit.select(
-        USER, ITEM, F.col(RATING).cast("double").alias("rat_rating"), none.alias("rev_rating")
+        USER, ITEM, F.col(RATING).cast("double").alias("from_ratings"), none.alias("from_reviews")
     ).unionByName(
-        implicit.select(USER, ITEM, none.alias("rat_rating"), F.col(RATING).cast("double").alias("rev_rating"))
+        implicit.select(USER, ITEM, none.alias("from_ratings"), F.col(RATING).cast("double").alias("from_reviews"))
     )
     return (
         stacked.repartition(USER)
         .groupBy(USER, ITEM)
-        .agg(F.sum("rat_rating").alias("rat_rating"), F.sum("rev_rating").alias("rev_rating"))
+        .agg(F.sum("from_ratings").alias("from_ratings"), F.sum("from_reviews").alias("from_reviews"))
     )
 
 
 def weighted(blended: DataFrame, weight) -> DataFrame:
-    """Add ``rating = weight * rev_rating + rat_rating``; ``weight`` is a number or a column."""
+    """Add ``rating = weight * from_reviews + from_ratings``; ``weight`` is a number or a column."""
     factor = weight if not isinstance(weight, (int, float)) else F.lit(float(weight))
-    return blended.withColumn(RATING, factor * F.col("rev_rating") + F.col("rat_rating"))
+    return blended.withColumn(RATING, factor * F.col("from_reviews") + F.col("from_ratings"))
 
 
 def hybrid_top_k(explicit: DataFrame, implicit: DataFrame, k: int, weight: float) -> DataFrame:

@@ -17,8 +17,6 @@ from tastemill.functions.hashing import (
     ITEM_HOLDOUT_TAG,
     USER_GROUP_TAG,
     hash_below,
-    hash_cut,
-    key_hash,
     validate_fraction,
 )
 from tastemill.schema import ITEM, SPLIT, TEST, TRAIN, USER, VAL
@@ -37,12 +35,10 @@ def user_group(weights: tuple[float, float, float] = DEFAULT_WEIGHTS, seed: int
     """train, val or test, drawn per user."""
     shares = [Decimal(str(w)) for w in weights]
     total = sum(shares)
-    draw = key_hash(seed, USER_GROUP_TAG, USER)
-    return (
-        F.when(draw < hash_cut(shares[0] / total), TRAIN)
-        .when(draw < hash_cut((shares[0] + shares[1]) / total), VAL)
-        .otherwise(TEST)
-    )
+    if len(shares) != 3 or min(shares) < 0 or total <= 0:
+        raise ValueError(f"three weights, none negative and not all zero, are needed, got {weights}")
+    draw = lambda share: hash_below(share / total, seed, USER_GROUP_TAG, USER)
+    return F.when(draw(shares[0]), TRAIN).when(draw(shares[0] + shares[1]), VAL).otherwise(TEST)
 
 
 def split_user_groups(
@@ -65,8 +61,10 @@ def tag_splits(
     """Add ``split``: train users whole, half of each val and test user held out.
 
     The half that is not held out gets ``train`` in the same projection, so no
-    set difference and no union is needed to give it back.
+    set difference and no union is needed to give it back. Rows without a user or
+    an item belong to no split.
     """
+    df = df.filter(F.col(USER).isNotNull() & F.col(ITEM).isNotNull())
     grouped = split_user_groups(df, weights, seed)
     held = (F.col(GROUP) != TRAIN) & holdout(share, seed)
     return grouped.withColumn(SPLIT, F.when(held, F.col(GROUP)).otherwise(TRAIN)).drop(GROUP)

@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
+#: A key with more than one part in so many of all rows is hot, so there are fewer hot keys than this.
+HOT_KEYS = 100_000
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 100_000
 
 
 def key_verdicts(
@@ -32,17 +32,17 @@ def key_verdicts(
 
     ``profile`` has one row per key, with its number of rows as ``n_rows``.
     Exceptions are listed with null ``slices``. A key of more than ``min_rows``
-    rows is also listed with its number of slices, the ``MAX_HOT_KEYS`` largest
-    ones at most: that bounds the part which is broadcast, and a key left out
-    has at most 1 / MAX_HOT_KEYS of all rows. No data row is dropped by this.
+    rows and of more than one part in ``HOT_KEYS`` of all rows is also listed with
+    its number of slices. By arithmetic fewer than HOT_KEYS keys can be, which
+    bounds what is broadcast; no ordering or gathering is needed to choose them,
+    and no slice or unlisted key holds more than the larger of the two bounds.
     """
-    min_rows = min_rows or ROWS_PER_SLICE
-    slices = F.least(F.ceil(F.col("n_rows") / F.lit(min_rows)), F.lit(MAX_SLICES)).cast("int")
+    total = profile.agg(F.sum("n_rows") / F.lit(HOT_KEYS)).scalar()
+    bound = F.greatest(F.lit(float(min_rows or ROWS_PER_SLICE)), F.coalesce(total, F.lit(0.0)))
+    slices = F.ceil(F.col("n_rows") / bound).cast("int")
     listed = profile.filter(exceptional).select(key, *keep, F.lit(None).cast("int").alias("slices"))
     hot = (
-        profile.filter(F.col("n_rows") > min_rows)
-        .orderBy(F.desc("n_rows"), key)
-        .limit(MAX_HOT_KEYS)
+        profile.filter(F.col("n_rows") > bound)
         .select(key, *keep, slices.alias("slices"))
     )
     return listed.unionByName(hot)

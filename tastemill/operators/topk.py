@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from tastemill.schema import ITEM, RATING, USER
 
 RANK = "rank"
+PRUNED_UP_TO = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k(scores: DataFrame, k: int, by: tuple[str, ...] = ()) -> DataFrame:
     """The k best items per user as rows with ``rank`` 1..k; ties go to the lower item id."""
+    spark = scores.sparkSession
+    if int(spark.conf.get(PRUNED_UP_TO)) < k:  # else longer lists would not be pruned
+        spark.conf.set(PRUNED_UP_TO, str(k))
     best_first = Window.partitionBy(*by, USER).orderBy(F.desc(RATING), F.asc(ITEM))
     return scores.withColumn(RANK, F.row_number().over(best_first)).filter(F.col(RANK) <= k)
 

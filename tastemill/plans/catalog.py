@@ -111,10 +111,10 @@ implicit_scores AS (SELECT user_id, book_id, is_reviewed + is_read AS rating FRO
 
 def _blend_ctes(k: int) -> str:
     return f"""{_SCORES}, e AS ({_top('explicit_scores', k)}), i AS ({_top('implicit_scores', k)}),
-blended AS (
-  SELECT COALESCE(e.user_id, i.user_id) AS user_id, COALESCE(e.book_id, i.book_id) AS book_id,
-    CAST(COALESCE(e.rating, 0) AS DOUBLE) AS rat_rating, CAST(COALESCE(i.rating, 0) AS DOUBLE) AS rev_rating
-  FROM e FULL OUTER JOIN i ON e.user_id = i.user_id AND e.book_id = i.book_id)"""
+lists AS (
+  SELECT user_id, book_id, CAST(rating AS DOUBLE) AS r, CAST(0 AS DOUBLE) AS v FROM e
+  UNION ALL SELECT user_id, book_id, CAST(0 AS DOUBLE), CAST(rating AS DOUBLE) FROM i),
+blended AS (SELECT user_id, book_id, SUM(r) AS from_ratings, SUM(v) AS from_reviews FROM lists GROUP BY user_id, book_id)"""
 
 
 def _metric_ctes(preds: str, labels_: str, k: int, by: str = "", min_len: int = 1) -> str:
@@ -654,7 +654,7 @@ def _(spark, sf):
 
 # --- J: blending ----------------------------------------------------------------------------------
 
-_WEIGHTED = "CAST({w} AS DOUBLE) * rev_rating + rat_rating AS rating"
+_WEIGHTED = "CAST({w} AS DOUBLE) * from_reviews + from_ratings AS rating"
 
 
 def _score_lists(facts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -692,7 +692,7 @@ _SWEEP_WEIGHTS = ", ".join(f"({w})" for w in blend.DEFAULT_WEIGHTS)
     "weight_sweep",
     f"""WITH {_LABELS}, {_blend_ctes(K)},
     weights AS (SELECT CAST(w AS DOUBLE) AS weight FROM (VALUES {_SWEEP_WEIGHTS}) t(w)),
-    scored AS (SELECT weight, user_id, book_id, weight * rev_rating + rat_rating AS rating FROM blended CROSS JOIN weights),
+    scored AS (SELECT weight, user_id, book_id, weight * from_reviews + from_ratings AS rating FROM blended CROSS JOIN weights),
     preds AS ({_top('scored', K, 'weight, user_id')}),
     weighted_labels AS (SELECT weight, user_id, book_id FROM labels CROSS JOIN weights),
     {_metric_ctes('preds', 'weighted_labels', K, by='weight', min_len=K)}
@@ -843,9 +843,3 @@ def _(spark, sf):
 def _(spark, sf):
     facts, tagged = _ratings(spark, sf)
     return experiments.final_test(tagged, facts, Run(k=K))
-
-
-@register("partition_sweep")
-def _(spark, sf):
-    _, tagged = _ratings(spark, sf)
-    return experiments.partition_sweep(tagged, K, (4, 8), (2,), (2, 4))

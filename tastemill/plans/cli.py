@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tastemill.operators.als import ALSConfig
 from tastemill.operators.splitting import pick
-from tastemill.plans.experiments import FINAL_REG, Run, final_test, partition_sweep, tune, tune_weight
-from tastemill.plans.prep import PrepConfig, load_splits, partitions_for, save_splits
+from tastemill.plans.experiments import FINAL_REG, GRID_RANKS, GRID_REGS, Run, final_test, tune, tune_weight
+from tastemill.plans.prep import PrepConfig, load_splits, save_splits
 from tastemill.schema import ITEM, TRAIN, USER, VAL
 from tastemill.session import build_session
 from tastemill.sources.scans import read_csv, read_parquet
-from tastemill.sources.storage import ArtifactStore, fingerprint, materialize
+from tastemill.sources.storage import ArtifactStore, identity, materialize
 
-TASKS = ("tune", "hybrid-tune", "test", "save-splits", "coalesce-test")
+TASKS = ("tune", "hybrid-tune", "test", "save-splits")
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -29,9 +29,6 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interactions", required=True, help="CSV file or Parquet table")
     parser.add_argument("--work", required=True, help="shared folder for stored artifacts and results")
     parser.add_argument("--low-threshold", type=int, default=10)
-    parser.add_argument(
-        "--coalesce", action="store_true", help="scale the partitions of fit inputs with the fraction"
-    )
     args = parser.parse_args(argv)
     if args.task == "hybrid-tune" and args.reg is None:
         parser.error("hybrid-tune needs rank and reg")
@@ -42,28 +39,25 @@ def load_interactions(spark: SparkSession, path: str, work: str) -> DataFrame:
     """The input as Parquet ordered by user; a CSV is converted once."""
     if not path.lower().endswith((".csv", ".csv.gz")):
         return read_parquet(spark, path)
-    target = f"{work}/interactions/{fingerprint(source=path)}"
+    target = f"{work}/interactions/{identity(spark, path)}"
     return materialize(lambda: read_csv(spark, "interactions", path), spark, target, (USER, ITEM), replace_incomplete=True)
 
 
 def run_task(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     full = load_interactions(spark, args.interactions, args.work)
-    store = ArtifactStore(spark, args.work, args.interactions)
+    store = ArtifactStore(spark, args.work, identity(spark, args.interactions))
     if args.task == "save-splits":
         return save_splits(full, store, low_threshold=args.low_threshold)
-    tagged = load_splits(full, PrepConfig(args.fraction, low_threshold=args.low_threshold), store)
-    full_count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = partitions_for(args.fraction, full_count) if args.coalesce else None
-    run = Run(args.fraction, VAL, args.k, store, f"{args.work}/results", partitions)
+    config = PrepConfig(args.fraction, low_threshold=args.low_threshold)
+    tagged = load_splits(full, config, store)
+    run = Run(args.fraction, VAL, args.k, store, f"{args.work}/results", config)
     train, val = pick(tagged, TRAIN), pick(tagged, VAL)
     if args.task == "tune":
-        return tune(train, val, run)
+        return tune(train, val, run, ranks=GRID_RANKS, regs=GRID_REGS)
     if args.task == "hybrid-tune":
         return tune_weight(train, val, full, ALSConfig(args.rank, args.reg), run)
-    if args.task == "test":
-        reg = FINAL_REG if args.reg is None else args.reg
-        return final_test(tagged, full, run, ALSConfig(args.rank, reg))
-    return partition_sweep(tagged, args.k)
+    reg = FINAL_REG if args.reg is None else args.reg
+    return final_test(tagged, full, run, ALSConfig(args.rank, reg))
 
 
 def main(argv: Sequence[str] | None = None) -> None:

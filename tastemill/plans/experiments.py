@@ -14,7 +14,6 @@ from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tastemill.operators.als import ALSConfig, fit_als, recommend_long
 from tastemill.operators.blend import (
@@ -26,11 +25,13 @@ from tastemill.operators.blend import (
 )
 from tastemill.operators.labels import eval_users_and_labels
 from tastemill.operators.metrics import evaluate
+from tastemill.operators.sampling import downsample
 from tastemill.operators.splitting import final_fit_frame, pick
-from tastemill.schema import ITEM, RESULTS_DDL, TEST, TRAIN, USER, VAL
-from tastemill.sources import fixtures
+from tastemill.plans.prep import PrepConfig
+from tastemill.schema import RESULTS_DDL, TEST, VAL
 from tastemill.sources.storage import ArtifactStore, append_results
 
+#: The published grid (fixed values); a full grid of 16 fits.
 GRID_RANKS = (10, 20, 100, 500)
 GRID_REGS = (0.01, 0.1, 1.0, 10.0)
 FINAL_REG, FINAL_WEIGHT = 0.01, -1.0
@@ -40,8 +41,9 @@ FINAL_REG, FINAL_WEIGHT = 0.01, -1.0
 class Run:
     """Where results belong: the sample, the evaluated split, and what may be stored.
 
-    ``partitions`` coalesces the inputs of a fit; by default the partitioning is
-    left to Spark.
+    ``prep`` is the preparation that the splits come from. All of it is part of
+    the key of every stored artifact, so another threshold, seed or rule is never
+    served from an earlier one; a store without it must hold one preparation only.
     """
 
     fraction: float = 1.0
@@ -49,10 +51,10 @@ class Run:
     k: int = 500
     store: ArtifactStore | None = None
     results_path: str | None = None
-    partitions: int | None = None
+    prep: PrepConfig | None = None
 
     def tag(self) -> dict:
-        return {"fraction": self.fraction, "split": self.split}
+        return {"fraction": self.fraction, "split": self.split, "prep": asdict(self.prep) if self.prep else None}
 
 
 @contextmanager
@@ -89,20 +91,20 @@ def get_recs(
     """
     watch = watch or Stopwatch()
     key = {**run.tag(), **asdict(config)}
-    if run.partitions:
-        train, users = train.coalesce(run.partitions), users.coalesce(run.partitions)
-
-    def fit():
-        return fit_als(train, config)
-
-    def build():
+    if run.store is None:
         with watch.lap("fit_s"):
-            model = fit() if run.store is None else run.store.model(fit, **key)
+            model = fit_als(train, config)
         return recommend_long(model, users, run.k)
+    if not run.store.has("recs", k=run.k, **key):
+        with watch.lap("fit_s"):
+            model = run.store.model(lambda: fit_als(train, config), **key)
+        with watch.lap("rec_s"):
+            run.store.frame("recs", lambda: recommend_long(model, users, run.k), k=run.k, **key)
+    return run.store.frame("recs", _must_exist, k=run.k, **key)
 
-    if run.store is None:
-        return build()
-    return run.store.frame("recs", build, k=run.k, **key)
+
+def _must_exist() -> DataFrame:
+    raise FileNotFoundError("a stored table has gone meanwhile")
 
 
 def _result_row(run: Run, config: ALSConfig, weight: float, metrics, watch: Stopwatch) -> tuple:
@@ -114,6 +116,7 @@ def _result_row(run: Run, config: ALSConfig, weight: float, metrics, watch: Stop
         config.rank,
         float(config.reg),
         float(weight),
+        metrics["users"],
         metrics["map"],
         metrics["ndcg"],
         metrics["precision"],
@@ -121,9 +124,14 @@ def _result_row(run: Run, config: ALSConfig, weight: float, metrics, watch: Stop
     )
 
 
-def _results(spark: SparkSession, run: Run, rows: list[tuple]) -> DataFrame:
+def _record(spark: SparkSession, run: Run, row: tuple) -> tuple:
+    """Append one result at once, so that a later failure does not lose it."""
     if run.results_path:
-        append_results(spark, run.results_path, rows)
+        append_results(spark, run.results_path, [row])
+    return row
+
+
+def _results(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RESULTS_DDL)
 
 
@@ -155,32 +163,55 @@ def _fit_and_score(
 def train_eval(train: DataFrame, held: DataFrame, config: ALSConfig, run: Run) -> DataFrame:
     """One configuration; one row of the results table."""
     users, labels = eval_users_and_labels(held)
-    return _results(train.sparkSession, run, [_fit_and_score(train, users, labels, config, run)])
+    spark = train.sparkSession
+    with persisted(train):
+        return _results(spark, [_record(spark, run, _fit_and_score(train, users, labels, config, run))])
 
 
 def tune(
     train: DataFrame,
     held: DataFrame,
     run: Run,
-    ranks: Sequence[int] = GRID_RANKS,
-    regs: Sequence[float] = GRID_REGS,
+    ranks: Sequence[int],
+    regs: Sequence[float],
     base: ALSConfig = ALSConfig(),
 ) -> DataFrame:
     """Grid over rank and regularization; the latter varies fastest, ranks grow."""
     users, labels = eval_users_and_labels(held)
     grid = [replace(base, rank=rank, reg=float(reg)) for rank, reg in itertools.product(ranks, regs)]
     with persisted(train, users, labels):
-        rows = [_fit_and_score(train, users, labels, config, run) for config in grid]
-    return _results(train.sparkSession, run, rows)
+        rows = [_record(train.sparkSession, run, _fit_and_score(train, users, labels, config, run)) for config in grid]
+    return _results(train.sparkSession, rows)
+
+
+def review_split(train: DataFrame, full: DataFrame, run: Run) -> DataFrame:
+    """The train rows with their review flag, stored if there is a store.
+
+    The flag of a sample needs the sample's users only: the full table is cut
+    down to them, row by row, before it is aggregated.
+    """
+    if run.prep:
+        full = downsample(full, run.prep.fraction, run.prep.seed)
+
+    def build() -> DataFrame:
+        return attach_review_flag(train, full)
+
+    return build() if run.store is None else run.store.frame("reviews", build, **run.tag())
 
 
 def hybrid_recs(
-    train: DataFrame, full: DataFrame, users: DataFrame, config: ALSConfig, run: Run, watch: Stopwatch | None = None
+    train: DataFrame,
+    full: DataFrame,
+    users: DataFrame,
+    config: ALSConfig,
+    run: Run,
+    watch: Stopwatch | None = None,
+    implicit_watch: Stopwatch | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Explicit recommendations from ratings, implicit ones from review flags."""
-    reviews = attach_review_flag(train, full)
-    explicit = get_recs(train, users, replace(config, implicit=False), run, watch)
-    implicit = get_recs(reviews, users, replace(config, implicit=True), run, watch)
+    with persisted(train, review_split(train, full, run)) as (ratings, reviews):
+        explicit = get_recs(ratings, users, replace(config, implicit=False), run, watch)
+        implicit = get_recs(reviews, users, replace(config, implicit=True), run, implicit_watch or watch)
     return explicit, implicit
 
 
@@ -211,9 +242,9 @@ def tune_weight(
         with watch.lap("eval_s"):
             swept = weight_sweep(explicit, implicit, labels, run.k, weights).collect()
     found = {row[WEIGHT]: row for row in swept}
-    empty = {"map": None, "ndcg": None, "precision": None}
-    rows = [_result_row(run, config, w, found.get(float(w), empty), watch) for w in weights]
-    return _results(train.sparkSession, run, rows)
+    empty = {"users": 0, "map": None, "ndcg": None, "precision": None}
+    spark = train.sparkSession
+    return _results(spark, [_record(spark, run, _result_row(run, config, w, found.get(float(w), empty), watch)) for w in weights])
 
 
 def final_test(
@@ -227,59 +258,15 @@ def final_test(
     run = replace(run, split=TEST)
     train, held = final_fit_frame(tagged), pick(tagged, TEST)
     users, labels = eval_users_and_labels(held)
+    spark = tagged.sparkSession
     with persisted(train, users, labels):
-        watch = Stopwatch()
-        explicit, implicit = hybrid_recs(train, full, users, config, run, watch)
+        # A watch for each row: the hybrid one has both models' times, and its own evaluation only.
+        watch, other = Stopwatch(), Stopwatch()
+        explicit, implicit = hybrid_recs(train, full, users, config, run, watch, other)
         with persisted(explicit):
-            basic = _score(explicit, labels, run, config, watch)
+            basic = _record(spark, run, _score(explicit, labels, run, config, watch))
+            for name in ("fit_s", "rec_s"):
+                other.seconds[name] += watch.seconds[name]
             blended = hybrid_top_k(explicit, implicit, run.k, weight)
-            hybrid = _score(blended, labels, run, config, watch, weight, min_len=run.k)
-    return _results(tagged.sparkSession, run, [basic, hybrid])
-
-
-def count_partitions(df: DataFrame) -> int:
-    """Number of partitions that hold rows."""
-    return df.select(F.spark_partition_id().alias("partition")).distinct().count()
-
-
-SWEEP_DDL = (
-    "train_partitions INT, val_partitions INT, id_partitions INT, "
-    "id_partitions_used INT, pred_partitions_used INT, rec_s DOUBLE, eval_s DOUBLE"
-)
-
-
-def partition_sweep(
-    tagged: DataFrame,
-    k: int,
-    train_counts: Sequence[int] = (50, 100, 200),
-    val_counts: Sequence[int] = (10, 50, 100),
-    id_counts: Sequence[int] = (10, 20, 50),
-    config: ALSConfig = ALSConfig(reg=1.1),
-) -> DataFrame:
-    """Stage times for combinations of partition counts of train, val and user ids."""
-    train, val = pick(tagged, TRAIN), pick(tagged, VAL)
-    rows = []
-    with persisted(train, val):
-        for n_train, n_val, n_ids in itertools.product(train_counts, val_counts, id_counts):
-            watch = Stopwatch()
-            held = val.repartition(n_val, USER, ITEM)
-            users, labels = eval_users_and_labels(held)
-            users = users.repartition(n_ids, USER)
-            with watch.lap("rec_s"):
-                model = fit_als(train.repartition(n_train, USER, ITEM), config)
-                recs = recommend_long(model, users, k).persist()
-                recs.count()
-            with watch.lap("eval_s"):
-                evaluate(recs, labels, k).first()
-            used = count_partitions(users), count_partitions(recs)
-            recs.unpersist()
-            rows.append((n_train, n_val, n_ids, *used, watch.seconds["rec_s"], watch.seconds["eval_s"]))
-    return tagged.sparkSession.createDataFrame(rows, SWEEP_DDL)
-
-
-def smoke_run(spark: SparkSession) -> DataFrame:
-    """Fit, recommend and evaluate on a handful of rows."""
-    train, val = fixtures.smoke_train(spark), fixtures.smoke_val(spark)
-    model = fit_als(train, ALSConfig(rank=3, reg=0.1))
-    recs = recommend_long(model, val, 2)
-    return evaluate(recs, val.select(USER, ITEM).distinct(), 2)
+            hybrid = _record(spark, run, _score(blended, labels, run, config, other, weight, min_len=run.k))
+    return _results(spark, [basic, hybrid])

@@ -12,7 +12,7 @@ from tastemill.operators.audit import split_counts
 from tastemill.operators.cleaning import check_threshold, project_triples, remove_zeros
 from tastemill.operators.sampling import DEFAULT_WEIGHTS, downsample, tag_splits
 from tastemill.operators.splitting import apply_user_verdicts, drop_unobserved_items, user_verdicts
-from tastemill.schema import SPLIT, TRAIN
+from tastemill.schema import ITEM, SPLIT, TRAIN, USER
 from tastemill.sources.storage import ArtifactStore
 from tastemill.staging import Stage, stage_table
 
@@ -34,18 +34,13 @@ class PrepConfig:
         check_threshold(self.low_threshold)
 
 
-def partitions_for(fraction: float, full: int = 200) -> int:
-    """Partition count that grows with the sample: a quarter of ``full`` plus its share."""
-    return int((0.25 + fraction) * full)
-
-
 def sampled_rows(interactions: DataFrame, config: PrepConfig) -> DataFrame:
     """Rated triples of the sampled users. Both filters are row-local.
 
     Sampling comes before the low-user filter, which works on whole users and so
     gives the same rows in either order, but now only sees the sample.
     """
-    rows = project_triples(interactions)
+    rows = project_triples(interactions).filter(F.col(USER).isNotNull() & F.col(ITEM).isNotNull())
     rows = remove_zeros(rows) if config.rm_zeros else rows
     return downsample(rows, config.fraction, config.seed)
 

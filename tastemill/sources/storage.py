@@ -71,6 +71,20 @@ def materialize(
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
+def identity(spark: SparkSession, path: str) -> str:
+    """A key over the files at ``path``: their names, sizes and times of change.
+
+    Another table under the same path is another input.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(hadoop_path, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return fingerprint(files=sorted(found))
+
+
 def fingerprint(**config) -> str:
     """A short key over everything that determines an artifact."""
     text = json.dumps(config, sort_keys=True, default=str)
@@ -91,6 +105,10 @@ class ArtifactStore:
     def path(self, folder: str, /, **config) -> str:
         return f"{self.root}/{folder}/{fingerprint(source=self.source, **config)}"
 
+    def has(self, folder: str, /, **config) -> bool:
+        """Whether the artifact is there and finished."""
+        return is_complete(self.spark, self.path(folder, **config))
+
     def frame(
         self,
         folder: str,

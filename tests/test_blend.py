@@ -1,8 +1,8 @@
+import data
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tastemill.operators import blend, metrics, topk
-from tastemill.sources import fixtures
 
 DDL = "user_id INT, book_id INT, rating FLOAT"
 
@@ -16,11 +16,11 @@ def lists(spark):
 def test_blend_equals_the_full_outer_join(spark):
     explicit, implicit = lists(spark)
     joined = (
-        explicit.withColumnRenamed("rating", "rat_rating")
-        .join(implicit.withColumnRenamed("rating", "rev_rating"), ["user_id", "book_id"], "full_outer")
-        .na.fill(0, subset=["rat_rating", "rev_rating"])
+        explicit.withColumnRenamed("rating", "from_ratings")
+        .join(implicit.withColumnRenamed("rating", "from_reviews"), ["user_id", "book_id"], "full_outer")
+        .na.fill(0, subset=["from_ratings", "from_reviews"])
     )
-    columns = ("user_id", "book_id", "rat_rating", "rev_rating")
+    columns = ("user_id", "book_id", "from_ratings", "from_reviews")
     assert rows(blend.blend_scores(explicit, implicit), *columns) == rows(joined, *columns)
 
 
@@ -45,11 +45,11 @@ def test_sweep_equals_single_weights(spark):
 
 
 def test_review_flag_does_not_multiply_rows(spark):
-    full = fixtures.small_full(spark)
+    full = data.few_reviewed(spark)
     twice = full.unionByName(full)
-    split = fixtures.small(spark).filter("user_id < 4").withColumn("split", F.lit("train"))
+    split = data.few(spark).filter("user_id < 4").withColumn("split", F.lit("train"))
     got = blend.attach_review_flag(split, twice)
-    assert got.count() == 12
+    assert got.count() == 15
     assert rows(got, "user_id", "book_id", "is_reviewed") == rows(
         full.filter("user_id < 4"), "user_id", "book_id", "is_reviewed"
     )

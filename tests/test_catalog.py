@@ -5,11 +5,13 @@ from conftest import SF
 
 import __spark_entry__ as spark_entry
 from check_oracles import compare, duck
+from tastemill.operators import topk
 from tastemill.operators.cleaning import remove_zeros
+from tastemill.plans import catalog
 from tastemill.sources import star
 from tastemill.staging import stage_table
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLES = catalog.builders(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,8 @@ def con():
 
 def test_every_oracle_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert not any(re.match(r"op\d*_", name) or "pipeline" in name for name in QUERIES)
+    assert QUERIES.items() <= spark_entry.queries().items()
+    assert ORACLES.items() <= spark_entry.oracle_sql().items()
 
 
 def plan(df):
@@ -65,3 +68,10 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(remove_zeros(stored).select("user_id"))
     assert "GreaterThan(rating,0)" in text
     assert re.search(r"ReadSchema: struct<user_id:bigint,rating:int>", text)
+
+
+@pytest.mark.parametrize("k", [1000, 5000])
+def test_long_lists_are_pruned_too(spark, k):
+    scores = star.interactions(spark, SF).select("user_id", "book_id", "rating")
+    assert "WindowGroupLimit" in plan(topk.topk_list(scores, k))
+    assert "WindowGroupLimit" in plan(topk.running_list(scores, k))

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+import data
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tastemill.operators import labels as labels_
 from tastemill.operators import metrics
-from tastemill.sources import fixtures
 
 KNOWN = [
     ([1, 6, 2, 7, 8, 3, 9, 10, 4, 5], [1, 2, 3, 4, 5]),
@@ -98,12 +98,13 @@ def test_lists_to_rows(spark):
 
 
 def test_labels(spark):
-    held = fixtures.small(spark).unionByName(fixtures.small(spark))
+    held = data.few(spark).unionByName(data.few(spark))
     users, labels = labels_.eval_users_and_labels(held)
-    assert users.count() == 10
-    assert labels.count() == 15
+    assert users.count() == 8
+    assert labels.count() == data.few(spark).filter("rating > 3").count() > 0
     lists = labels_.true_label_lists(labels)
-    assert rows(lists.filter("user_id = 1")) == [(1, 0, [102, 103, 104])]
+    liked = sorted(r.book_id for r in data.few(spark).filter("user_id = 1 AND rating > 3").collect())
+    assert rows(lists.filter("user_id = 1")) == [(1, 0, liked)]
 
 
 def test_long_label_lists_are_cut_into_parts(spark):

@@ -2,6 +2,7 @@ import hashlib
 from decimal import Decimal
 
 import pytest
+import data
 from conftest import SF, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tastemill.functions.hashing import hash_cut, validate_fraction
 from tastemill.functions.ids import int_id
 from tastemill.operators import sampling
-from tastemill.sources import fixtures, star
+from tastemill.sources import star
 
 
 def draw(tag, key, seed=42):
@@ -33,8 +34,8 @@ def test_fraction_is_taken_as_written():
 
 
 def test_downsample_takes_whole_users(spark):
-    large = fixtures.large(spark)
-    want = {u for u in range(1, 61) if draw("d", u) < 0.3}
+    large = data.many(spark)
+    want = {u for u in range(1, 47) if draw("d", u) < 0.3}
     sample = sampling.downsample(large, 0.3)
     assert {r.user_id for r in sample.collect()} == want
     assert rows(sample) == rows(large.filter(F.col("user_id").isin(list(want))))
@@ -42,7 +43,7 @@ def test_downsample_takes_whole_users(spark):
 
 
 def test_tags_follow_the_draws(spark):
-    tagged = sampling.tag_splits(fixtures.large(spark)).collect()
+    tagged = sampling.tag_splits(data.many(spark)).collect()
     for row in tagged:
         u = draw("u", row.user_id)
         group = "train" if u < 0.6 else "val" if u < 0.8 else "test"
@@ -58,13 +59,13 @@ def test_split_does_not_depend_on_partitioning(spark):
 
 
 def test_seed_changes_the_draw(spark):
-    large = fixtures.large(spark)
+    large = data.many(spark)
     assert rows(sampling.tag_splits(large, seed=1)) != rows(sampling.tag_splits(large, seed=2))
 
 
 def test_row_local_operators_run_on_a_stream(spark, tmp_path):
     path = str(tmp_path / "in")
-    large = fixtures.large(spark)
+    large = data.many(spark)
     large.write.parquet(path)
     stream = spark.readStream.schema(large.schema).parquet(path)
     query = (

@@ -1,13 +1,14 @@
 from collections import defaultdict
 
 import pytest
+import data
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from tastemill.operators import audit, cleaning, sampling, skew, splitting
 from tastemill.plans import prep
 from tastemill.plans.prep import PrepConfig
-from tastemill.sources import fixtures, star
+from tastemill.sources import star
 from tastemill.staging import stage_nothing, stage_table
 
 
@@ -62,7 +63,7 @@ def test_splits_are_disjoint_and_leak_free(basket_rows):
 @pytest.mark.parametrize("threshold", [0, 4, 10])
 @pytest.mark.parametrize("fraction", [0.3, 1.0])
 def test_fused_prep_equals_the_single_steps(spark, threshold, fraction):
-    large = fixtures.large(spark)
+    large = data.many(spark)
     config = PrepConfig(fraction=fraction, low_threshold=threshold)
     low = cleaning.remove_low_users(cleaning.remove_zeros(large), threshold)
     want = splitting.train_val_test_split(sampling.downsample(low, fraction))
@@ -70,7 +71,7 @@ def test_fused_prep_equals_the_single_steps(spark, threshold, fraction):
 
 
 def test_prep_flags(spark):
-    large = fixtures.large(spark)
+    large = data.many(spark)
     everything = PrepConfig(fraction=1.0, rm_unobserved=False, rm_zeros=False, low_threshold=0)
     assert rows(prep.prep_splits(large, everything)) == rows(sampling.tag_splits(large))
     no_rules = PrepConfig(fraction=1.0, rm_unobserved=False, low_threshold=4)
@@ -81,12 +82,12 @@ def test_prep_flags(spark):
 def test_hot_copies_spread_and_survive(spark):
     """One user, one item and one row make up most of the table."""
     hot = spark.range(3000).select(F.lit(7).alias("user_id"), F.lit(9).alias("book_id"), F.lit(4).alias("rating"))
-    rest = fixtures.large(spark)
+    rest = data.many(spark)
     df = hot.unionByName(rest).repartition(8)
     kept = cleaning.remove_low_users(df, 4, min_rows=50)
     want = rest.groupBy("user_id").count().filter("count > 4").select("user_id")
     assert kept.filter("book_id = 9").count() == 3000
-    assert kept.filter("book_id <> 9 AND user_id <> 7").count() == rest.join(want, "user_id").count()
+    assert kept.filter("book_id <> 9 AND user_id <> 7").count() == rest.join(want, "user_id").filter("user_id <> 7").count()
 
     counts = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
     verdicts = skew.key_verdicts(counts, "user_id", F.col("n_rows") <= 4, min_rows=50)
@@ -94,10 +95,10 @@ def test_hot_copies_spread_and_survive(spark):
 
 
 def test_hot_list_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
-    profile = spark.range(100).select(F.col("id").alias("user_id"), (F.col("id") + 1).alias("n_rows"))
+    monkeypatch.setattr(skew, "HOT_KEYS", 40)
+    profile = spark.range(1, 101).select(F.col("id").alias("user_id"), (F.col("id") * F.col("id")).alias("n_rows"))
     verdicts = skew.key_verdicts(profile, "user_id", F.col("n_rows") < 1, min_rows=10)
-    assert [r[0] for r in rows(verdicts)] == [97, 98, 99]
+    assert [r[0] for r in rows(verdicts)] == list(range(92, 101))  # more than a fortieth of 338,350 rows each
 
 
 def test_hot_exceptions_spread_too(spark):
@@ -105,7 +106,7 @@ def test_hot_exceptions_spread_too(spark):
     held = spark.range(3000).select(
         F.lit(1).alias("user_id"), F.lit(9).alias("book_id"), F.lit(4).alias("rating"), F.lit("val").alias("split")
     )
-    rest = sampling.tag_splits(fixtures.large(spark))
+    rest = sampling.tag_splits(data.many(spark))
     tagged = held.repartition(8).unionByName(rest)
     got = splitting.drop_unobserved_items(tagged, min_rows=50)
     assert rows(got) == rows(splitting.drop_unobserved_items(rest, min_rows=10**6))
@@ -128,8 +129,28 @@ def test_conservation(basket_rows):
     assert got == {"down - recombined": removed, "recombined - down": 0}
 
 
-def test_partition_formula():
-    assert [prep.partitions_for(f) for f in (0.01, 0.05, 0.25, 1)] == [52, 60, 100, 250]
+@pytest.mark.parametrize("weights", [(0.8, 0.2, 0), (1, 0, 0), (0, 0, 1), (0.5, 0, 0.5)])
+def test_a_zero_share_gets_nobody(spark, weights):
+    users = spark.range(2000).select(F.col("id").alias("user_id"))
+    counts = dict(map(tuple, sampling.split_user_groups(users, weights).groupBy("user_group").count().collect()))
+    assert all((name in counts) == (share > 0) for name, share in zip(("train", "val", "test"), weights))
+    for share, name in zip(weights, ("train", "val", "test")):
+        assert abs(counts.get(name, 0) / 2000 - share) < 0.05
+
+
+def test_weights_are_checked():
+    for bad in ((1, 2), (0.5, -0.1, 0.6), (0, 0, 0)):
+        with pytest.raises(ValueError):
+            sampling.user_group(bad)
+
+
+def test_rows_without_a_key_are_in_no_split(spark):
+    """As with inner joins on users and items, a null key matches nothing."""
+    extra = spark.createDataFrame([(None, 700, 4), (3, None, 4), (None, None, 5)], data.INTERACTION)
+    rows_ = data.many(spark)
+    config = PrepConfig(fraction=1.0, low_threshold=0)
+    assert rows(prep.prep_splits(rows_.unionByName(extra), config)) == rows(prep.prep_splits(rows_, config))
+    assert rows(sampling.tag_splits(rows_.unionByName(extra))) == rows(sampling.tag_splits(rows_))
 
 
 def test_published_split_sizes(spark):

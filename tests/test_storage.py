@@ -1,14 +1,14 @@
 import os
 
 import pytest
+import data
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
 from tastemill import session
 from tastemill.plans import cli, prep
-from tastemill.plans.experiments import partition_sweep as sweep
 from tastemill.plans.experiments import tune as cli_tune
-from tastemill.sources import fixtures, scans, star, storage
+from tastemill.sources import scans, star, storage
 from tastemill.sources.storage import ArtifactStore, materialize
 
 
@@ -25,7 +25,7 @@ def test_csv_scans(spark, tmp_path):
 
 def test_materialize_writes_once(spark, tmp_path):
     path = str(tmp_path / "t")
-    small = fixtures.small(spark)
+    small = data.few(spark)
     assert rows(materialize(small, spark, path)) == rows(small)
 
     def never():
@@ -56,7 +56,7 @@ def test_files_are_ordered_by_user_and_a_hot_user_spreads(spark, tmp_path):
 
 def test_unfinished_table_is_not_read_and_not_overwritten(spark, tmp_path):
     path = str(tmp_path / "t")
-    small = fixtures.small(spark)
+    small = data.few(spark)
     small.write.parquet(path)
     os.remove(f"{path}/_SUCCESS")
     with pytest.raises(FileExistsError):
@@ -70,24 +70,24 @@ def test_other_errors_are_not_taken_for_a_missing_table(spark, tmp_path):
     (path / "_SUCCESS").touch()
     (path / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
-        materialize(fixtures.small(spark), spark, str(path)).collect()
+        materialize(data.few(spark), spark, str(path)).collect()
 
 
 def test_stored_splits_are_read_by_split(spark, tmp_path):
     store = ArtifactStore(spark, str(tmp_path), "large")
     config = prep.PrepConfig(fraction=1.0, low_threshold=0)
-    tagged = prep.load_splits(fixtures.large(spark), config, store)
+    tagged = prep.load_splits(data.many(spark), config, store)
     assert rows(tagged, "user_id", "book_id", "rating", "split") == rows(
-        prep.prep_splits(fixtures.large(spark), config), "user_id", "book_id", "rating", "split"
+        prep.prep_splits(data.many(spark), config), "user_id", "book_id", "rating", "split"
     )
     plan = tagged.filter("split = 'val'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
-    assert rows(prep.load_splits(fixtures.small(spark), config, store)) == rows(tagged)
+    assert rows(prep.load_splits(data.few(spark), config, store)) == rows(tagged)
 
 
 def test_save_splits_summary(spark, tmp_path):
     store = ArtifactStore(spark, str(tmp_path), "large")
-    summary = prep.save_splits(fixtures.large(spark), store, fractions=(0.5, 1.0), low_threshold=4)
+    summary = prep.save_splits(data.many(spark), store, fractions=(0.5, 1.0), low_threshold=4)
     assert {r.fraction for r in summary.collect()} == {0.5, 1.0}
 
 
@@ -135,11 +135,10 @@ def csv_input(spark, tmp_path_factory):
 @pytest.mark.parametrize("task", cli.TASKS)
 def test_every_task_runs(spark, csv_input, tmp_path, monkeypatch, task):
     small_grid = {"ranks": (2,), "regs": (0.1,)}
-    monkeypatch.setattr(cli, "tune", lambda *a: cli_tune(*a, **small_grid))
-    monkeypatch.setattr(cli, "partition_sweep", lambda tagged, k: sweep(tagged, k, (2,), (2,), (2,)))
-    args = cli.parse_args([task, "1", "5", "2", "0.1", "--interactions", csv_input, "--work", str(tmp_path), "--coalesce"])
+    monkeypatch.setattr(cli, "tune", lambda *a, **k: cli_tune(*a, **small_grid))
+    args = cli.parse_args([task, "1", "5", "2", "0.1", "--interactions", csv_input, "--work", str(tmp_path)])
     result = cli.run_task(spark, args)
-    want = {"tune": 1, "hybrid-tune": 5, "test": 2, "save-splits": 12, "coalesce-test": 1}[task]
+    want = {"tune": 1, "hybrid-tune": 5, "test": 2, "save-splits": 12}[task]
     got = result.count()
     assert got == want or (task == "save-splits" and 0 < got <= want)
     if task in ("tune", "hybrid-tune", "test"):
