@@ -10,7 +10,8 @@ a number repeated without its country code, and these become additional spans.
 
 Training is by distant supervision on the patterns' spans of at most
 ``TRAIN_DOCS`` documents, ``TRAIN_TOKENS`` candidates each: a softmax on token
-shapes, and smoothed log-odds of label pairs on chain and on skip edges.
+shapes, and smoothed log-odds of label pairs on chain and on skip edges. Tokens
+that are joined to an entity and match no pattern are left out there.
 
 Positions are code points, end exclusive. Defined results: a null text counts as
 empty; texts without digits and ``@`` have no spans; repeated rows are each
@@ -35,7 +36,7 @@ LABELS = ("none", *KINDS)
 TRAIN_DOCS, TRAIN_TOKENS = 20_000, 200
 ROUNDS = 10
 #: Least probability of a kind for an additional span.
-SURE = 0.9
+SURE = 0.7
 #: Characters between neighbouring candidates that still form a chain.
 NEAR = 3
 
@@ -246,10 +247,16 @@ def train(docs: DataFrame) -> Field:
             for text in batch.column("text").to_pylist():
                 tokens = candidates(text)[:TRAIN_TOKENS]
                 label = np.maximum(observed(tokens, base_spans(text)), 0)
-                for (a, b), y in zip(tokens, label.tolist()):
-                    key = (y, *shape(text, a, b))
-                    rows[key] = rows.get(key, 0) + 1
-                for edges, counts in zip(graph(text, tokens), (chain_n, skip_n)):
+                chain, skip = graph(text, tokens)
+                # What resembles an entity and matches no pattern is unknown, not an example of none.
+                one = (label[skip[:, 0]] > 0) != (label[skip[:, 1]] > 0)
+                known = np.ones(len(tokens), dtype=bool)
+                known[skip[one].reshape(-1)] = False
+                for (a, b), y, use in zip(tokens, label.tolist(), (known | (label > 0)).tolist()):
+                    if use:
+                        key = (y, *shape(text, a, b))
+                        rows[key] = rows.get(key, 0) + 1
+                for edges, counts in ((chain, chain_n), (skip[~one], skip_n)):
                     np.add.at(counts, label[edges[:, 0]] * len(LABELS) + label[edges[:, 1]], 1)
             for kind, values in (("row", [[float(n), *k] for k, n in rows.items()]), ("chain", [chain_n.tolist()]), ("skip", [skip_n.tolist()])):
                 yield pa.RecordBatch.from_arrays([pa.array([kind] * len(values)), pa.array(values, pa.list_(pa.float64()))], ["kind", "v"])
