@@ -151,6 +151,12 @@ def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
     return stage_table("links", both.mapInArrow(run, "a binary, b binary"))
 
 
+def products(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Cosines of the unit vectors of ``x`` and ``y``."""
+    mine, theirs = (side.flatten().to_numpy().reshape(len(side), -1) for side in (x, y))
+    return mine @ theirs.T
+
+
 def neighbour_counts(members: DataFrame, cosine: float) -> DataFrame:
     """``node, n_near``: vectors as near as ``cosine`` in its component, itself included, for ``root, node, copies, unit``."""
     sizes = stage_table("sizes", members.groupBy("root").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")))
@@ -164,9 +170,8 @@ def neighbour_counts(members: DataFrame, cosine: float) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 a, b = batch.column("a")[k].values, batch.column("b")[k].values
-                mine, theirs = (np.array(x.field("unit").to_pylist()) for x in (a, b))
                 weights = b.field("copies").to_numpy(zero_copy_only=False)
-                near = ((mine @ theirs.T) >= cosine) @ weights
+                near = (products(a.field("unit"), b.field("unit")) >= cosine) @ weights
                 yield pa.RecordBatch.from_arrays([a.field("node"), pa.array(near, pa.int64())], ["node", "n"])
 
     # The product of two tiles is one small task of its own.
@@ -181,7 +186,13 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     classes = stage_table(
         "classes", real.groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.any_value("unit").alias("unit"))
     )
-    roots = bucket_components(buckets(classes).distinct(), lambda pairs: verified(pairs, classes, cosine), lambda a, b: a == b)
+    roots = bucket_components(
+        buckets(classes).distinct(),
+        lambda pairs: verified(pairs, classes, cosine),
+        lambda a, b: a == b,
+        lambda nodes: classes.join(nodes.hint("merge"), "node").select("node", F.col("unit").alias("data"), F.size("unit").cast("bigint").alias("size")),
+        lambda x, y: products(x, y) >= cosine,
+    )
     named = classes.join(roots, "node", "left").select("node", "vec_id", "copies", "unit", F.coalesce("root", "node").alias("root"))
     named = stage_table("named", named)
     smallest = stage_table("smallest", named.groupBy("root").agg(F.min("vec_id").alias("component_id"), F.count("*").alias("classes")))

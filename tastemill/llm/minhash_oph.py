@@ -35,6 +35,10 @@ from tastemill.llm.graph import bucket_components
 from tastemill.staging import stage_table
 
 
+#: Standard deviations of the sketches' error that are allowed for.
+DEVIATIONS = 5.5
+
+
 @dataclass(frozen=True)
 class Settings:
     """Shingles of ``words`` words; a link is a share of at least ``num / den``; ``bands`` of ``rows`` bins each."""
@@ -106,8 +110,16 @@ def band_keys(signatures: np.ndarray, settings: Settings) -> np.ndarray:
     return keys.astype(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Two bits of every bin, packed into 64-bit integers."""
+    bits = np.stack([signatures & np.uint64(1), signatures >> np.uint64(1) & np.uint64(1)], axis=2).astype(np.uint8)
+    packed = np.packbits(bits.reshape(len(signatures), 2 * signatures.shape[1]), axis=1)
+    padded = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))
+    return np.ascontiguousarray(padded).view(np.int64).reshape(len(signatures), -(-2 * signatures.shape[1] // 64))
+
+
 def describe(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, n_shingles, node binary, buckets array<bigint>``; the node names the set, null if it is empty."""
+    """``doc_id, n_shingles, node binary, buckets, sketch``; the node names the set, null if it is empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Batches) -> Batches:
@@ -118,12 +130,15 @@ def describe(docs: DataFrame, settings: Settings) -> DataFrame:
             nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             buckets = list_array(band_keys(signatures, settings).reshape(-1), np.where(sizes > 0, settings.bands, 0))
+            sketch = sketches(signatures)
+            sketch = list_array(sketch.reshape(-1), np.where(sizes > 0, sketch.shape[1], 0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(nodes, pa.binary()), buckets],
-                ["doc_id", "n_shingles", "node", "buckets"],
+                [batch.column("doc_id"), pa.array(sizes), pa.array(nodes, pa.binary()), buckets, sketch],
+                ["doc_id", "n_shingles", "node", "buckets", "sketch"],
             )
 
-    return id_and_text(docs).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, node binary, buckets array<bigint>")
+    schema = f"doc_id {kind}, n_shingles bigint, node binary, buckets array<bigint>, sketch array<bigint>"
+    return id_and_text(docs).mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
@@ -143,9 +158,56 @@ def full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFra
     return texts.mapInArrow(run, "node binary, shingles array<bigint>").dropDuplicates(["node"])
 
 
-def near_in_size(a: Column, b: Column, settings: Settings) -> Column:
-    """Whether sets of these sizes can be alike enough at all."""
-    return F.least(a, b) * settings.den >= F.greatest(a, b) * settings.num
+def possible(a: Column, b: Column, settings: Settings) -> Column:
+    """Whether sets can be alike enough, by their sizes and sketches.
+
+    Of linked sets the expected share of bins whose two bits differ is three
+    quarters of the share of all that is unlike. A set fills only some bins by
+    itself, and only these count for the error; ``DEVIATIONS`` standard deviations
+    above the expectation no link is lost but with odds of about one in a million.
+    """
+    sized = F.least(a.n, b.n) * settings.den >= F.greatest(a.n, b.n) * settings.num
+    unlike = 0.75 * (1 - settings.num / settings.den)
+    filled = settings.bins * (1 - F.exp(-F.least(a.n, b.n) / F.lit(float(settings.bins))))
+    most = settings.bins * (unlike + DEVIATIONS * F.sqrt(unlike * (1 - unlike) / filled))
+    differing = F.lit(0)
+    for k in range(-(-settings.bins * 2 // 64)):
+        x = a.sketch[k].bitwiseXOR(b.sketch[k])
+        # One bit for each pair of bits that is not all zero.
+        either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        differing = differing + F.bit_count(either)
+    return sized & (differing <= most)
+
+
+def sized_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """``node, data, size``: the full sets of the given nodes."""
+    wanted = stage_table("wanted", classes.select("node", "doc_id").join(nodes.hint("merge"), "node"))
+    sets = stage_table("sets", full_sets(docs, wanted, settings))
+    return sets.select("node", F.col("shingles").alias("data"), F.size("shingles").cast("bigint").alias("size"))
+
+
+def alike(x: pa.Array, y: pa.Array, settings: Settings) -> np.ndarray:
+    """Which sets of ``x`` are linked with which of ``y``: products of the sets' incidence matrices."""
+    sizes = [np.diff(side.offsets.to_numpy()) for side in (x, y)]
+    values = [side.flatten().to_numpy() for side in (x, y)]
+    known = np.intersect1d(*values)
+    shared = np.zeros((len(sizes[0]), len(sizes[1])), dtype=np.float32)
+    places = []
+    for size, value in zip(sizes, values):
+        at = np.minimum(np.searchsorted(known, value), max(0, len(known) - 1))
+        hit = np.flatnonzero(known[at] == value) if len(known) else np.zeros(0, dtype=np.int64)
+        order = np.argsort(at[hit], kind="stable")
+        places.append((np.repeat(np.arange(len(size)), size)[hit][order], at[hit][order]))
+    for start in range(0, len(known), 4096):
+        parts = []
+        for (row, column), size in zip(places, sizes):
+            a, b = np.searchsorted(column, (start, start + 4096))
+            part = np.zeros((len(size), min(4096, len(known) - start)), dtype=np.float32)
+            part[row[a:b], column[a:b] - start] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    both = sizes[0][:, None] + sizes[1][None, :] - shared
+    return np.rint(shared) * settings.den >= np.rint(both) * settings.num
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
@@ -167,11 +229,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "classes",
         described.filter("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("buckets").alias("buckets")),
+        .agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("buckets").alias("buckets"), F.any_value("sketch").alias("sketch")),
     )
-    members = classes.select("node", "n", F.explode("buckets").alias("bucket"))
+    members = classes.select("node", F.struct("n", "sketch").alias("n"), F.explode("buckets").alias("bucket"))
     roots = bucket_components(
-        members, lambda pairs: confirmed(pairs, docs, classes, settings), lambda a, b: near_in_size(a, b, settings)
+        members,
+        lambda pairs: confirmed(pairs, docs, classes, settings),
+        lambda a, b: possible(a, b, settings),
+        lambda nodes: sized_sets(docs, classes, nodes, settings),
+        lambda x, y: alike(x, y, settings),
     )
 
     # The smallest doc_id of each component, over its classes, carried back to all rows.
