@@ -154,7 +154,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFra
             yield rows.filter(same)  # rows may share a doc_id and differ in text
 
     rows = id_and_text(docs).withColumnRenamed("doc_id", "other")
-    texts = rows.join(wanted, rows.other.eqNullSafe(wanted.doc_id)).select("node", "text")
+    # The list grows with the input: it is never broadcast, so that the plan is the same at every size.
+    texts = rows.join(wanted.hint("merge"), rows.other.eqNullSafe(wanted.doc_id)).select("node", "text")
     return texts.mapInArrow(run, "node binary, shingles array<bigint>").dropDuplicates(["node"])
 
 
