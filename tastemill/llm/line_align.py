@@ -1,17 +1,20 @@
 """Removal of passages that an earlier document holds, by pairwise alignment of lines.
 
-Candidate pairs: a run is the shortest stretch of whole lines from some line on
-that has at least ``min_words`` words. Such a run is long enough to be rare, and
-its hash leads to the first document that holds it. A later document is paired
-with the first holder of each of its runs: a star, so the number of pairs grows
-with the number of lines, however many documents share a passage. As any block
-worth deleting begins with a run, no block is missed.
+Candidate pairs: a run is the shortest stretch of whole lines from some line on,
+or up to some line, that has at least ``min_words`` words. Such a run is long
+enough to be rare, and its hash leads to the first document that holds it. A
+later document is paired with the first holder of each of its runs: a star, so
+the number of pairs grows with the number of lines, however many documents share
+a passage. Every line with words in a block worth deleting lies in a run of that
+block, from the block's first line on or up to the line itself.
 
 Each pair is aligned with patience diff (lines that are unique on both sides,
 longest increasing subsequence, then the gaps between them). Common blocks of at
 least ``min_words`` words are deleted from the later document. The alignment is
 repeated on what is left, which finds blocks in another order than the first
-document's. In a gap without unique lines, runs are looked up instead.
+document's. In a gap without unique lines, runs are looked up instead. The chain
+leaves out what crosses it, so in the end every run of the later document that
+the first one holds is deleted, wherever it stands: no block is missed.
 
 Order is by doc_id, nulls last, then by the text's hash. Rows equal in doc_id and
 text are one document, and each of them gets its result. Lines end at a line
@@ -38,17 +41,43 @@ from tastemill.staging import stage_table
 MIN_WORDS = 20
 
 
-def runs(lines: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each line that starts a run: the run's hash and its end; both are 0 for other lines."""
+def runs(lines: np.ndarray, words: np.ndarray, min_words: int, backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For each line that starts a run: the run's hash and its end; both are 0 for other lines.
+
+    Lines that come backward are hashed in the text's order, so that a run has one hash from both sides.
+    """
     ends = np.searchsorted(np.cumsum(words), np.cumsum(words) - words + min_words) + 1
     hashes = np.zeros(len(lines), dtype=np.int64)
-    raw = lines.tobytes()
+    n = len(lines)
+    raw = (lines[::-1] if backward else lines).tobytes()
     for i, end in enumerate(ends.tolist()):
-        if end <= len(lines) and words[i]:
-            hashes[i] = xxhash.xxh3_64_intdigest(raw[8 * i : 8 * end]) >> 1 or 1
+        if end <= n and words[i]:
+            part = raw[8 * (n - end) : 8 * (n - i)] if backward else raw[8 * i : 8 * end]
+            hashes[i] = xxhash.xxh3_64_intdigest(part) >> 1 or 1
     return hashes, np.where(hashes != 0, ends, 0)
 
 
+def runs_up_to(lines: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each line that ends a run: the run's hash and its first line; the hash is 0 for other lines."""
+    hashes, ends = runs(lines[::-1].copy(), words[::-1], min_words, backward=True)
+    return hashes[::-1], len(lines) - ends[::-1]
+
+
+def held_lines(a: np.ndarray, a_words: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int) -> set[int]:
+    """Lines of ``b`` in runs that ``a`` holds, wherever they stand in both."""
+    of_a = np.concatenate([runs(a, a_words, min_words)[0], runs_up_to(a, a_words, min_words)[0]])
+    edges = np.zeros(len(b) + 1, dtype=np.int64)
+    hashes, ends = runs(b, b_words, min_words)
+    at = np.flatnonzero((hashes != 0) & np.isin(hashes, of_a))
+    np.add.at(edges, at, 1)
+    np.add.at(edges, ends[at], -1)
+    hashes, starts = runs_up_to(b, b_words, min_words)
+    at = np.flatnonzero((hashes != 0) & np.isin(hashes, of_a))
+    np.add.at(edges, starts[at], 1)
+    np.add.at(edges, at + 1, -1)
+    return set(np.flatnonzero(np.cumsum(edges[:-1]) > 0).tolist())
+
+
 def matched(a: list[int], b: list[int], run_of) -> list[tuple[int, int]]:
     """Positions of equal lines of ``a`` and ``b`` as patience diff pairs them."""
     pairs: list[tuple[int, int]] = []
@@ -127,7 +156,7 @@ def deleted_lines(a: np.ndarray, a_words: np.ndarray, b: np.ndarray, b_words: np
             block.append(q)
             last = (p, q)
         if not new:
-            return sorted(gone)
+            return sorted(gone | held_lines(a, a_words, b, b_words, min_words))
         gone.update(new)
         for q in new:
             left_b[q] = -1 - q  # equal to no line: hashes are not negative
@@ -143,7 +172,7 @@ def profile(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 cut = [x.rstrip() for x in text.split("\n")]
                 own = np.array([xxhash.xxh3_64_intdigest(x) >> 1 for x in cut], dtype=np.int64)
                 count = np.array([len(x.split()) for x in cut], dtype=np.int64)
-                hashes = np.unique(runs(own, count, min_words)[0])
+                hashes = np.unique(np.concatenate([runs(own, count, min_words)[0], runs_up_to(own, count, min_words)[0]]))
                 hashes = hashes[hashes != 0]
                 lines.append(own)
                 words.append(count)

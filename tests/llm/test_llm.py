@@ -238,6 +238,29 @@ def test_moved_and_repeated_lines():
     assert line_align.deleted_lines(same, np.full(50, 5), same[:30], np.full(30, 5), 20) == list(range(30))
 
 
+def test_lines_that_cross_the_alignment(spark):
+    """Every line with words in a common block of enough words goes, whatever the order of the blocks."""
+    h, p = 1, 2
+    assert line_align.deleted_lines(np.array([h, p]), np.array([3, 50]), np.array([p, h]), np.array([50, 3]), 20) == [0]
+    draw = random.Random(4)
+    for _ in range(400):
+        size = {k: draw.choice([0, 2, 5, 9, 25]) for k in range(12)}
+        a, b = ([draw.randrange(12) for _ in range(draw.randrange(1, 30))] for _ in range(2))
+        count = lambda x: np.array([size[k] for k in x])
+        want = set()
+        for i in range(len(b)):
+            for j in range(i + 1, len(b) + 1):
+                if sum(size[k] for k in b[i:j]) >= 20 and any(a[k : k + j - i] == b[i:j] for k in range(len(a))):
+                    want.update(range(i, j))
+        got = set(line_align.deleted_lines(np.array(a), count(a), np.array(b), count(b), 20))
+        assert got <= want and all(size[b[k]] == 0 for k in want - got)
+    # The first holder of the passage does not hold the line after it; another document does.
+    passage, tail = " ".join(f"w{k}" for k in range(30)), "and a tail"
+    docs = [(1, passage), (2, f"{passage}\n{tail}"), (3, f"own words\n{passage}\n{tail}")]
+    left = line_align.remove_repeated(spark.createDataFrame(docs, "doc_id BIGINT, text STRING")).collect()
+    assert {r.doc_id: r.text for r in left} == {1: passage, 2: tail, 3: "own words"}
+
+
 def test_leaks_against_brute_force(spark, texts):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
     plain = lambda t: latent_leaks.words_of(pa.array([t]))[0].to_pylist()
