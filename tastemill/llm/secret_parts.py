@@ -6,8 +6,8 @@ text and count only together: an identifier (``user``, ``login``, ``account``,
 ``client_id`` ... = value), a secret-like value (a mixed string of 16 or more
 letters and digits, or 16 to 23 hexadecimal digits) and an endpoint (a URL or a
 ``host:port``). A scope is a stretch of ``SCOPE`` characters. An interval join,
-an equi-join on scope-wide cells of the text and their neighbours, links parts
-of different roles within a scope; an identifier or endpoint is reported when a
+an equi-join on the scope-wide cells around both ends of each part, links parts
+of different roles whose gap is at most a scope; an identifier or endpoint is reported when a
 secret is near, and a weak secret when an identifier or an endpoint is near (for
 which access identifiers and assignments count as well).
 
@@ -102,11 +102,12 @@ def _entries(spans: Column, kind: str, rank: int, role: str) -> Column:
 
 def linked(parts: DataFrame) -> DataFrame:
     """The weak ones of ``parts`` that have a complementary part within a scope."""
-    cell = F.floor(F.col("start") / SCOPE)
+    cell = lambda position: F.floor(F.col(position) / SCOPE)
     weak = parts.filter(F.col("rank") >= len(PLAIN))
-    # Only what a weak candidate may need: one row per cell, role and document is enough to name the nearest ends.
-    near = parts.select("key", F.col("role").alias("other"), F.col("kind").alias("other_kind"), F.col("start").alias("s"), F.col("end").alias("e"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    joined = weak.withColumn("cell", cell).join(near.hint("merge"), ["key", "cell"])
+    # The gap runs from one part's end to the other's start. So a weak part's end lies in the scope before the other's
+    # start, or its start in the scope after the other's end: two cells each, however long the parts are.
+    near = parts.select("key", F.col("role").alias("other"), F.col("kind").alias("other_kind"), F.col("start").alias("s"), F.col("end").alias("e"), F.explode(F.array_distinct(F.array(cell("start") - 1, cell("start"), cell("end"), cell("end") + 1))).alias("cell"))
+    joined = weak.withColumn("cell", F.explode(F.array_distinct(F.array(cell("start"), cell("end"))))).join(near.hint("merge"), ["key", "cell"])
     apart = F.greatest(F.col("s") - F.col("end"), F.col("start") - F.col("e"))
     complementary = ((F.col("role") == "what") & (F.col("other") != "what")) | ((F.col("role") != "what") & (F.col("other") == "what"))
     hits = joined.filter(complementary & (apart >= 0) & (apart <= SCOPE))

@@ -205,6 +205,27 @@ def test_weak_parts_count_only_together(spark):
     assert kinds == {1: ["ident", "value", "endpoint"], 2: [], 3: [], 4: []}
 
 
+def test_links_against_brute_force(spark):
+    """All pairs with a gap of at most a scope are linked, at all offsets and for long parts."""
+    kinds = {"ident": "who", "endpoint": "where", "value": "what"}
+    draw, parts = random.Random(3), []
+    for offset in range(0, 400, 3):
+        for gap in (0, 161, 199, 200, 201):
+            first, second = draw.choice([("ident", "value"), ("value", "ident"), ("endpoint", "value"), ("value", "endpoint"), ("ident", "endpoint")])
+            end = offset + draw.choice([1, 40, 250, 1_000])
+            own = [(first, offset, end), (second, end + gap, end + gap + draw.choice([16, 300, 5_000]))]
+            parts += [(f"{offset}-{gap}", k, 3, kinds[k], a, b) for k, a, b in own]
+    parts += [("trace", "ident", 3, "who", 199, 239), ("trace", "value", 5, "what", 400, 420)]
+    frame = spark.createDataFrame(parts, "key STRING, kind STRING, rank INT, role STRING, start INT, end INT")
+    want = set()
+    for x, y in [*zip(parts[::2], parts[1::2])]:
+        if (x[3] == "what") != (y[3] == "what") and y[4] - x[5] <= secret_parts.SCOPE:
+            want |= {x, y}
+    assert ("trace", "ident", 3, "who", 199, 239) in want
+    got = [(r.key, r.kind, r.rank, r.role, r.start, r.end) for r in secret_parts.linked(frame).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_line_alignment_against_brute_force(spark, texts):
     """Every run of whole lines with enough words that an earlier document holds is deleted, and nothing but common blocks."""
     seen, holders = {}, {}
