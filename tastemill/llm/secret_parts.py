@@ -41,7 +41,7 @@ PLAIN = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}"}
 WEAK = {
     "ident": (r"""(?i:user(?:name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{3,}""", "who"),
     "endpoint": (r"(?:https?|jdbc:[a-z]+|ftp|postgres(?:ql)?|mysql|mongodb)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]{4,}|(?<![A-Za-z0-9.-])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}(?![0-9])", "where"),
-    "value": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,64}(?![A-Za-z0-9+/_-])", "what"),
+    "value": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?![A-Za-z0-9+/_-])", "what"),
 }
 #: What a text must contain, one of them, to have a match at all: spares most texts the pattern.
 HINTS = {"assign": (":", "="), "access": ("AKIA",), "ident": (":", "="), "endpoint": (":",)}

@@ -205,6 +205,15 @@ def test_weak_parts_count_only_together(spark):
     assert kinds == {1: ["ident", "value", "endpoint"], 2: [], 3: [], 4: []}
 
 
+def test_long_values_count(spark):
+    """A secret-like value has no longest length."""
+    sizes = (16, 64, 65, 88, 500, 70_000)
+    docs = [(n, f"user = alice {('Zx81+mQ27/pLw90aT' * n)[:n]} at db.example.org:5432") for n in sizes]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_parts.find_secrets(spark.createDataFrame(docs, "doc_id BIGINT, text STRING")).collect()}
+    for n in sizes:
+        assert found[n] == [("ident", 0, 12), ("value", 13, 13 + n), ("endpoint", 17 + n, 36 + n)]
+
+
 def test_links_against_brute_force(spark):
     """All pairs with a gap of at most a scope are linked, at all offsets and for long parts."""
     kinds = {"ident": "who", "endpoint": "where", "value": "what"}
