@@ -315,6 +315,19 @@ def test_a_paraphrase_needs_the_answer(spark):
     assert latent_leaks.leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_frequent_and_long_items_are_found(spark):
+    """An item in a third of all rows, one of common words, and one of 1,000 words, verbatim and with every fourth word replaced."""
+    draw = random.Random(6)
+    filler = lambda n, stem: " ".join(f"{stem}{draw.randrange(3_000)}" for _ in range(n))
+    often, common, long = filler(16, "often"), "to be or not to be that is the thing", filler(1_000, "long")
+    changed = " ".join(w if k % 4 else f"other{k}" for k, w in enumerate(long.split()))
+    docs = [(k, f"{filler(40, 'x')} to be that {often if k % 3 == 0 else 'or not is the thing'} {filler(60, 'y')}") for k in range(300)]
+    docs += [(1_000, f"{filler(50, 'x')} {common} {filler(50, 'x')}"), (1_001, f"{filler(70, 'x')} {long} {filler(70, 'x')}"), (1_002, f"{filler(70, 'x')} {changed}")]
+    bench = spark.createDataFrame([(1, often), (2, common), (3, long)], "item_id BIGINT, text STRING")
+    got = {(r.doc_id, r.item_id) for r in latent_leaks.leaks(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), bench).collect()}
+    assert got == {(k, 1) for k in range(0, 300, 3)} | {(1_000, 2), (1_001, 3), (1_002, 3)}
+
+
 def test_all_maximal_segments():
     scores = np.zeros(300)
     scores[[10, 12, 200]] = 2.0, 3.0, 4.0
