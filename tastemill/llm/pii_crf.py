@@ -7,9 +7,10 @@ that repeats it or is similar: the same digits or the same last seven, the same
 address or the same name before the ``@``. Labels of pattern spans are observed;
 loopy message passing carries them to the tokens that no pattern matches, such as
 a number repeated without its country code, and these become additional spans.
+Without an observed label, shapes and edges alone decide.
 
 Training is by distant supervision on the patterns' spans of at most
-``TRAIN_DOCS`` documents, ``TRAIN_TOKENS`` candidates each: a softmax on token
+``TRAIN_DOCS`` documents, with all of their candidates: a softmax on token
 shapes, and smoothed log-odds of label pairs on chain and on skip edges. Tokens
 that are joined to an entity and match no pattern are left out there.
 
@@ -33,7 +34,7 @@ from tastemill.llm.common import Batches, id_and_text, in_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-TRAIN_DOCS, TRAIN_TOKENS = 20_000, 200
+TRAIN_DOCS = 20_000
 ROUNDS = 10
 #: Least probability of a kind for an additional span.
 SURE = 0.7
@@ -208,16 +209,12 @@ class Field:
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """All spans of a text: the patterns' and the field's, by start, then kind."""
         base = base_spans(text)
-        if not base:
-            return base  # without an observed entity there is no label to carry
         tokens = candidates(text)
         seen = observed(tokens, base)
         if not len(tokens) or (seen >= 0).all():
             return base
         features = np.array([shape(text, a, b) for a, b in tokens])
         chain, skip = graph(text, tokens)
-        if not len(skip):
-            return base
         belief = self.beliefs(features, seen, chain, skip)
         label = np.where(seen < 0, belief.argmax(axis=1), 0)
         sure = (label > 0) & (belief.max(axis=1) >= SURE)
@@ -228,7 +225,7 @@ class Field:
                 added[-1] = (added[-1][0], kind, b)
             else:
                 added.append((a, kind, b))
-        taken = np.array([[s, e] for s, _, e in base])
+        taken = np.array([[s, e] for s, _, e in base], dtype=np.int64).reshape(-1, 2)
         free = [x for x in added if not ((taken[:, 0] < x[2]) & (taken[:, 1] > x[0])).any()]
         return sorted(base + free)
 
@@ -245,7 +242,7 @@ def train(docs: DataFrame) -> Field:
             rows: dict[tuple, int] = {}
             chain_n, skip_n = np.zeros(pairs_kind), np.zeros(pairs_kind)
             for text in batch.column("text").to_pylist():
-                tokens = candidates(text)[:TRAIN_TOKENS]
+                tokens = candidates(text)
                 label = np.maximum(observed(tokens, base_spans(text)), 0)
                 chain, skip = graph(text, tokens)
                 # What resembles an entity and matches no pattern is unknown, not an example of none.
