@@ -9,8 +9,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm import attention_lm, bpe_tree, embedding_polytope, latent_leaks, line_align, minhash_oph, pii_crf, rans_blocks, secret_parts, toxic_segments
+from tastemill.llm import (
+    attention_lm,
+    bpe_tree,
+    conversation_repair,
+    digest_runs,
+    embedding_polytope,
+    latent_leaks,
+    line_align,
+    minhash_oph,
+    phrase_stripes,
+    pii_crf,
+    rans_blocks,
+    secret_parts,
+    toxic_segments,
+)
 from tastemill.session import shared_dir
+from tastemill.staging import stage_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -88,6 +103,33 @@ def op10_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_oph.near_duplicates(documents(spark, sf_dir), minhash_oph.Settings(words=4))
 
 
+def op11_phrase_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_stripes.top_collocations(documents(spark, sf_dir))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with the query's faults: some dropped, emptied, cut at their end, repeated, or given to the user."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rest = F.pmod(F.crc32(key.cast("binary")), F.lit(20))
+    text = F.when(rest == 1, "").when(rest == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(rest == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = conversation_repair.turns(conversations).filter(rest != 0)
+    hurt = rows.select("conv_id", "turn", F.when(rest == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(copies))
+    return hurt.drop("col")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    hurt = damaged(conversations)
+    plans = stage_table("plans", conversation_repair.plan_repairs(hurt, conversations))
+    digests = conversation_repair.repaired_digests(hurt, plans).withColumnRenamed("conv_id", "of")
+    return plans.join(digests, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+
+
+def op13_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_runs.exact_duplicates(documents(spark, sf_dir))
+
+
 BUILDERS: dict[str, Builder] = {
     "pipeline": corpus_pipeline.run,
     "op1_latent_leaks": op1_latent_leaks,
@@ -100,5 +142,58 @@ BUILDERS: dict[str, Builder] = {
     "op8_pii_crf": op8_pii_crf,
     "op9_secret_parts": op9_secret_parts,
     "op10_minhash_oph": op10_minhash_oph,
+    "op11_phrase_stripes": op11_phrase_stripes,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_digest_runs": op13_digest_runs,
+}
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op11_phrase_stripes": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLDED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), words AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS ws FROM pieces
+        ), places AS (
+            SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM words
+        ), grams AS (
+            SELECT lang, ws[i : i + k - 1] AS g FROM places, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(ws)
+        ), f AS (
+            SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g
+        ), totals AS (
+            SELECT lang, sum(c)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, g, c AS a FROM f WHERE len(g) > 1 AND c >= 10
+        ), cuts AS (
+            SELECT lang, g, a, k FROM candidates, (VALUES (1), (2)) ks(k) WHERE k < len(g)
+        ), scored AS (
+            SELECT cuts.lang, cuts.g, a, k, l.c AS l, r.c AS r,
+                ((1000000::HUGEINT * a * a) // (l.c::HUGEINT * r.c))::BIGINT AS score
+            FROM cuts
+            JOIN f l ON l.lang = cuts.lang AND l.g = cuts.g[1:k]
+            JOIN f r ON r.lang = cuts.lang AND r.g = cuts.g[k + 1 : len(cuts.g)]
+        ), best AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+        ), longer AS (
+            SELECT lang, g[1:2] AS g, a FROM candidates WHERE len(g) = 3
+            UNION ALL SELECT lang, g[2:3], a FROM candidates WHERE len(g) = 3
+        ), most AS (
+            SELECT lang, g, max(a) AS m FROM longer GROUP BY lang, g
+        ), kept AS (
+            SELECT best.*, array_to_string(best.g, ' ') AS phrase FROM best LEFT JOIN most ON most.lang = best.lang AND most.g = best.g
+            WHERE m IS NULL OR 100 * m < 50 * a
+        ), ranked AS (
+            SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+            FROM kept JOIN totals ON totals.lang = kept.lang
+        )
+        SELECT * FROM ranked WHERE rank <= 2000""",
+    "op13_digest_runs": f"""
+        WITH folded AS (SELECT doc_id, {_FOLDED} AS t FROM documents)
+        SELECT doc_id,
+            max(doc_id) OVER (PARTITION BY t) AS keep_id,
+            count(*) OVER (PARTITION BY t) AS group_size,
+            row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+            sha256(t) AS text_sha256
+        FROM folded""",
 }
-ORACLES: dict[str, str] = {}
