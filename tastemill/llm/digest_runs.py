@@ -31,6 +31,7 @@ from tastemill.staging import stage_table
 #: Binomial rounds that one shuffle does at once: 16 runs are merged into each.
 MERGE_BITS = 4
 KEY = ("sha", "size", "check")
+_ARROW = pa.schema([("run", pa.int32()), ("sha", pa.binary()), ("size", pa.int32()), ("check", pa.int64()), ("id", pa.int64()), ("row", pa.int64()), ("n", pa.int64())])
 ENTRY = "run int, sha binary, size int, check bigint, id bigint, row bigint, n bigint"
 #: Bits of monotonically_increasing_id() below the number of the partition.
 ROW_BITS = 33
@@ -58,6 +59,8 @@ def _merge(batches: Batches) -> Batches:
     """Reduce neighbours of equal run and key to the last one, with the sum of their rows."""
     held = None
     for batch in batches:
+        # One schema for both: Spark marks columns that have no nulls.
+        batch = pa.RecordBatch.from_arrays(batch.columns, schema=_ARROW)
         table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
         if not table.num_rows:
             continue
@@ -70,8 +73,8 @@ def _merge(batches: Batches) -> Batches:
         starts = np.concatenate([[0], np.flatnonzero(new) + 1])
         lasts = np.concatenate([starts[1:], [table.num_rows]]) - 1
         total = np.add.reduceat(table["n"].to_numpy(), starts)
-        merged = table.take(pa.array(lasts))
-        merged = merged.set_column(merged.schema.get_field_index("n"), "n", pa.array(total)).combine_chunks().to_batches()[0]
+        columns = [c.chunk(0).take(pa.array(lasts)) for c in table.columns]
+        merged = pa.RecordBatch.from_arrays([*columns[:-1], pa.array(total)], schema=_ARROW)
         yield merged.slice(0, merged.num_rows - 1)
         held = merged.slice(merged.num_rows - 1)
     if held is not None:

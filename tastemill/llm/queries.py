@@ -151,37 +151,42 @@ _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 ORACLES: dict[str, str] = {
     "op11_phrase_stripes": f"""
-        WITH pieces AS (
+        WITH texts AS (
             SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLDED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), pieces AS (
+            SELECT row_number() OVER () AS p, lang, regexp_split_to_array(piece, '[ \\t]+') AS ws FROM texts
         ), words AS (
-            SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') AS ws FROM pieces
-        ), places AS (
-            SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM words
+            SELECT p, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM pieces
+        ), runs AS (
+            SELECT lang, w AS w1, lead(w, 1) OVER piece AS w2, lead(w, 2) OVER piece AS w3 FROM words WHERE w <> ''
+            WINDOW piece AS (PARTITION BY p ORDER BY i)
         ), grams AS (
-            SELECT lang, ws[i : i + k - 1] AS g FROM places, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(ws)
-        ), f AS (
-            SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g
+            SELECT lang, w1 AS g, 1 AS k, NULL AS w1, NULL AS w2, NULL AS w3 FROM runs
+            UNION ALL SELECT lang, w1 || ' ' || w2, 2, w1, w2, NULL FROM runs WHERE w2 IS NOT NULL
+            UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, w1, w2, w3 FROM runs WHERE w3 IS NOT NULL
+        ), f AS MATERIALIZED (
+            SELECT lang, g, k, any_value(w1) AS w1, any_value(w2) AS w2, any_value(w3) AS w3, count(*) AS c FROM grams GROUP BY lang, g, k
         ), totals AS (
-            SELECT lang, sum(c)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang
-        ), candidates AS (
-            SELECT lang, g, c AS a FROM f WHERE len(g) > 1 AND c >= 10
+            SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
         ), cuts AS (
-            SELECT lang, g, a, k FROM candidates, (VALUES (1), (2)) ks(k) WHERE k < len(g)
+            SELECT lang, g, c AS a, 1 AS cut, w1 AS lg, w2 AS rg FROM f WHERE k = 2 AND c >= 10
+            UNION ALL SELECT lang, g, c, 1, w1, w2 || ' ' || w3 FROM f WHERE k = 3 AND c >= 10
+            UNION ALL SELECT lang, g, c, 2, w1 || ' ' || w2, w3 FROM f WHERE k = 3 AND c >= 10
         ), scored AS (
-            SELECT cuts.lang, cuts.g, a, k, l.c AS l, r.c AS r,
+            SELECT cuts.lang, cuts.g, a, cut, l.c AS l, r.c AS r,
                 ((1000000::HUGEINT * a * a) // (l.c::HUGEINT * r.c))::BIGINT AS score
             FROM cuts
-            JOIN f l ON l.lang = cuts.lang AND l.g = cuts.g[1:k]
-            JOIN f r ON r.lang = cuts.lang AND r.g = cuts.g[k + 1 : len(cuts.g)]
+            JOIN f l ON l.lang = cuts.lang AND l.g = cuts.lg
+            JOIN f r ON r.lang = cuts.lang AND r.g = cuts.rg
         ), best AS (
-            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
         ), longer AS (
-            SELECT lang, g[1:2] AS g, a FROM candidates WHERE len(g) = 3
-            UNION ALL SELECT lang, g[2:3], a FROM candidates WHERE len(g) = 3
+            SELECT lang, w1 || ' ' || w2 AS g, c FROM f WHERE k = 3 AND c >= 10
+            UNION ALL SELECT lang, w2 || ' ' || w3, c FROM f WHERE k = 3 AND c >= 10
         ), most AS (
-            SELECT lang, g, max(a) AS m FROM longer GROUP BY lang, g
+            SELECT lang, g, max(c) AS m FROM longer GROUP BY lang, g
         ), kept AS (
-            SELECT best.*, array_to_string(best.g, ' ') AS phrase FROM best LEFT JOIN most ON most.lang = best.lang AND most.g = best.g
+            SELECT best.*, best.g AS phrase FROM best LEFT JOIN most ON most.lang = best.lang AND most.g = best.g
             WHERE m IS NULL OR 100 * m < 50 * a
         ), ranked AS (
             SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
