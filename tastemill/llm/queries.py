@@ -168,16 +168,17 @@ ORACLES: dict[str, str] = {
             SELECT lang, g, k, any_value(w1) AS w1, any_value(w2) AS w2, any_value(w3) AS w3, count(*) AS c FROM grams GROUP BY lang, g, k
         ), totals AS (
             SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+        ), counts AS MATERIALIZED (
+            SELECT lang || ':' || g AS id, c FROM f WHERE k < 3
         ), cuts AS (
             SELECT lang, g, c AS a, 1 AS cut, w1 AS lg, w2 AS rg FROM f WHERE k = 2 AND c >= 10
             UNION ALL SELECT lang, g, c, 1, w1, w2 || ' ' || w3 FROM f WHERE k = 3 AND c >= 10
             UNION ALL SELECT lang, g, c, 2, w1 || ' ' || w2, w3 FROM f WHERE k = 3 AND c >= 10
+        ), lefts AS MATERIALIZED (
+            SELECT cuts.*, counts.c AS l FROM cuts JOIN counts ON id = lang || ':' || lg
         ), scored AS (
-            SELECT cuts.lang, cuts.g, a, cut, l.c AS l, r.c AS r,
-                ((1000000::HUGEINT * a * a) // (l.c::HUGEINT * r.c))::BIGINT AS score
-            FROM cuts
-            JOIN f l ON l.lang = cuts.lang AND l.g = cuts.lg
-            JOIN f r ON r.lang = cuts.lang AND r.g = cuts.rg
+            SELECT lang, g, a, cut, l, c AS r, ((1000000::HUGEINT * a * a) // (l::HUGEINT * c))::BIGINT AS score
+            FROM lefts JOIN counts ON id = lang || ':' || rg
         ), best AS (
             SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
         ), longer AS (
@@ -186,7 +187,7 @@ ORACLES: dict[str, str] = {
         ), most AS (
             SELECT lang, g, max(c) AS m FROM longer GROUP BY lang, g
         ), kept AS (
-            SELECT best.*, best.g AS phrase FROM best LEFT JOIN most ON most.lang = best.lang AND most.g = best.g
+            SELECT best.*, best.g AS phrase FROM best LEFT JOIN most ON most.lang || ':' || most.g = best.lang || ':' || best.g
             WHERE m IS NULL OR 100 * m < 50 * a
         ), ranked AS (
             SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
