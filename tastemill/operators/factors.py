@@ -1,118 +1,271 @@
-"""Exact top-k items per user by dot product of given factors.
+"""Exact top-k items per user by dot product of given factors: maximum inner product search.
 
-Every (user, item) pair has to be scored, but only k per user and item block
-are ever written. Both sides are cut into blocks of bounded size; each pair of
-blocks is one matrix product in one task. The blocks are paired by an equi-key
-(each side carries the other's block number), and ids are hashed to blocks, so
-the work is even whatever the data looks like.
+Items are put in order of their norms and cut into blocks. By Cauchy and Schwarz no
+score of a block exceeds the user's norm times the block's largest norm, so a user
+whose k-th best score is above that needs neither this block nor any later one.
+
+1. *Seed.* The items with the largest norms, a bounded number, go to all tasks. Every
+   user's k-th best score among them says how far down the blocks the user has to look.
+2. *Blocks.* Users are put in order of that depth and cut into blocks, so that users
+   who look equally far stand together. A block of users gets the item blocks that one
+   of its users needs, and no others.
+3. *Walk.* One task per user block takes them in order of their norms, as a sorted
+   stream. It keeps k rows per user, and its rising k-th best scores close blocks that
+   the seed had left open. Nothing is merged afterwards: a user's list is complete.
+
+If there are fewer user blocks than tasks, the item blocks are dealt into strips, each
+walked by a task of its own; only then are k rows per user and strip merged.
+
+With equal norms and scores far below them nothing can be skipped, and the work is
+that of all products; the result is exact in any case.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.operators.topk import RANK, top_k
 from tastemill.schema import ITEM, RATING, USER
+from tastemill.staging import stage_table
+
+Batches = Iterator[pa.RecordBatch]
+
+#: Bytes of factors in an item block, and the most blocks there are (what a task knows of all blocks is 8 bytes each).
+BLOCK_BYTES, MAX_BLOCKS = 4 * 2**20, 65_536
+#: Rows of results that a task holds, and scores that it computes at once.
+ROWS_PER_RESULT, SCORES_PER_BATCH = 4_000_000, 4_000_000
+#: Items of the seed, if k is not larger.
+SEED_ITEMS = 2_048
+#: Relative room for rounding in a norm times a norm.
+ROUNDING = 1e-9
+
+
+def _matrix(features: pa.Array) -> np.ndarray:
+    """Rows of factors in double precision."""
+    flat = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(features), -1)
+
+
+def _norm(features: str) -> Column:
+    zero = F.lit(0.0)
+    return F.sqrt(F.aggregate(features, zero, lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+def in_blocks(rows: DataFrame, order: Column, rows_per_block: int) -> DataFrame:
+    """``rows`` with a ``block`` number: stretches of the given order, of at most ``rows_per_block`` rows.
+
+    Partitions follow the order (equal values that of their ids, so they can be spread), and each is
+    cut where it is too long. Numbers are not dense.
+    """
+    names = rows.columns
+
+    def run(batches: Batches) -> Batches:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number = (part << 32) + (at + np.arange(batch.num_rows)) // rows_per_block
+            at += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number)], [*names, "block"])
+
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    dealt = rows.repartitionByRange(order, "id").sortWithinPartitions(order, "id")
+    return dealt.mapInArrow(run, f"{kinds}, block bigint")
+
+
+class Best:
+    """The k best (score, item) of each user so far; equal scores by item."""
+
+    def __init__(self, users: pa.Array, factors: np.ndarray, k: int, decimals: int):
+        self.users, self.factors, self.k, self.decimals = users, factors, k, decimals
+        self.norms = np.sqrt((factors * factors).sum(axis=1))
+        #: A score below this is not among the k best.
+        self.floor = np.full(len(factors), -np.inf)
+        self.row, self.item, self.score = (np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.float64))
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_new = 0
+        self.products = 0
+
+    def open(self, largest_norm: float) -> np.ndarray:
+        """Users who may find one of their k best among items up to this norm."""
+        bound = self.norms * largest_norm * (1 + ROUNDING) + 10.0**-self.decimals
+        return np.flatnonzero(bound >= self.floor)
+
+    def look(self, items: np.ndarray, factors: np.ndarray, largest_norm: float) -> None:
+        """Take in a block of items."""
+        users = self.open(largest_norm)
+        batch = max(1, SCORES_PER_BATCH // max(1, len(items)))
+        for start in range(0, len(users), batch):
+            some = users[start : start + batch]
+            scores = np.round(self.factors[some] @ factors.T, self.decimals)
+            self.products += scores.size
+            many = np.flatnonzero((scores >= self.floor[some, None]).sum(axis=1) > self.k)
+            if len(many):
+                kth = np.partition(scores[many], -self.k, axis=1)[:, -self.k]
+                self.floor[some[many]] = np.maximum(self.floor[some[many]], kth)
+            row, column = np.nonzero(scores >= self.floor[some, None])
+            self.new.append((some[row], items[column], scores[row, column]))
+            self.n_new += len(row)
+        if self.n_new > ROWS_PER_RESULT:
+            self.settle()
+
+    def settle(self) -> None:
+        """Put what is new in its place and raise the floors."""
+        row, item, score = (np.concatenate([old, *(n[c] for n in self.new)]) for c, old in enumerate((self.row, self.item, self.score)))
+        order = np.lexsort((item, -score, row))
+        row, item, score = row[order], item[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < self.k
+        full = place == self.k - 1
+        self.floor[row[full]] = np.maximum(self.floor[row[full]], score[full])
+        self.row, self.item, self.score = row[best], item[best], score[best]
+        self.new, self.n_new = [], 0
 
-BLOCK_BYTES = 64 * 2**20
-SCORES_PER_BATCH = 4_000_000
-ROWS_PER_RESULT = 4_000_000
-
-
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and factor matrix of one block, ordered by id."""
-    ids = table.column(0).to_numpy()
-    features = table.column(1).combine_chunks()
-    if isinstance(features, pa.ChunkedArray):
-        features = pa.concat_arrays(features.chunks)
-    flat = features.flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.astype(np.float64).reshape(len(ids), -1)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], matrix[order]
-
-
-def best_in_block(
-    user_factors: np.ndarray, item_ids: np.ndarray, item_factors: np.ndarray, k: int, decimals: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per user row the k best items: (row number, item id, score), ties to the lower id."""
-    k = min(k, len(item_ids))
-    batch = max(1, SCORES_PER_BATCH // len(item_ids))
-    rows, ids, scores = [], [], []
-    for start in range(0, len(user_factors), batch):
-        block = np.round(user_factors[start : start + batch] @ item_factors.T, decimals)
-        # The k-th best score bounds the candidates; ties with it are all kept and then sorted.
-        kth = np.partition(block, -k, axis=1)[:, -k]
-        for i, row in enumerate(block):
-            candidates = np.flatnonzero(row >= kth[i])
-            best = candidates[np.lexsort((candidates, -row[candidates]))[:k]]
-            rows.append(np.full(len(best), start + i))
-            ids.append(item_ids[best])
-            scores.append(row[best])
-    return np.concatenate(rows), np.concatenate(ids), np.concatenate(scores)
-
-
-def _block_count(stats, rows_limit: int | None = None) -> int:
-    rows_per_block = max(1, BLOCK_BYTES // (8 * max(1, stats["width"] or 1)))
-    return max(1, math.ceil(stats["n"] / min(rows_per_block, rows_limit or rows_per_block)))
+    def result(self, schema: pa.Schema) -> pa.RecordBatch:
+        self.settle()
+        rank = np.arange(len(self.row)) - np.searchsorted(self.row, self.row) + 1
+        columns = [self.users.take(pa.array(self.row)), pa.array(self.item), pa.array(self.score), pa.array(rank)]
+        return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def _walk(batches: Batches, k: int, decimals: int, schema: pa.Schema) -> Batches:
+    """Rows of one user block and strip after the other: its users, then items by block."""
+    state: Best | None = None
+    current = None
+    users: list[tuple[pa.Array, np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("ub", "strip", "kind", "place")], axis=1)
+        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for start, stop in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)]):
+            part, (ub, strip, kind, _) = batch.slice(start, stop - start), keys[start].tolist()
+            if (ub, strip) != current:
+                if state is not None:
+                    yield state.result(schema)
+                current, state, users = (ub, strip), None, []
+            ids, factors = part.column("id"), _matrix(part.column("features"))
+            if kind == 0:
+                users.append((ids, factors))
+                continue
+            if state is None:
+                state = Best(pa.concat_arrays([u[0] for u in users]), np.concatenate([u[1] for u in users]), k, decimals)
+            state.look(ids.to_numpy(), factors, float(part.column("norm").to_numpy().max()))
+    if state is not None:
+        yield state.result(schema)
 
 
 def _stats(factors: DataFrame):
     return factors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("width")).first()
 
 
+def _depths(users: DataFrame, seed: list, k: int, decimals: int) -> DataFrame:
+    """``users`` with the largest norm below which no item is among the k best (0: none is known)."""
+    kind = users.schema["id"].dataType.simpleString()
+    element = users.schema["features"].dataType.simpleString()
+    best_items = np.array([r.features for r in seed], dtype=np.float64)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            factors = _matrix(batch.column("features"))
+            depth = np.zeros(len(factors))
+            if len(best_items) >= k and len(factors):
+                norms = np.sqrt((factors * factors).sum(axis=1))
+                for start in range(0, len(factors), max(1, SCORES_PER_BATCH // len(best_items))):
+                    own = slice(start, start + max(1, SCORES_PER_BATCH // len(best_items)))
+                    scores = np.round(factors[own] @ best_items.T, decimals)
+                    kth = np.partition(scores, -k, axis=1)[:, -k] - 10.0**-decimals
+                    depth[own] = np.where(norms[own] > 0, kth / (np.maximum(norms[own], 1e-300) * (1 + ROUNDING)), 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(depth)], ["id", "features", "depth"])
+
+    return users.select("id", "features").mapInArrow(run, f"id {kind}, features {element}, depth double")
+
+
+def _needed(user_blocks: DataFrame, norms: np.ndarray, places: np.ndarray, strips: int) -> DataFrame:
+    """``ub, strip, place``: the item blocks that one of a block's users needs; ``norms`` fall."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            reach = np.searchsorted(-norms, -batch.column("depth").to_numpy(), side="right")
+            ub = np.repeat(batch.column("ub").to_numpy(), reach)
+            place = np.concatenate([np.arange(0), *(np.arange(n) for n in reach.tolist())])
+            for start in range(0, len(ub), 100_000):
+                own = slice(start, start + 100_000)
+                columns = [ub[own], (place[own] % strips).astype(np.int32), place[own].astype(np.int32), places[place[own]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["ub", "strip", "place", "block"])
+
+    return user_blocks.mapInArrow(run, "ub bigint, strip int, place int, block bigint")
+
+
+def block_plan(users: DataFrame, items: DataFrame, k: int, decimals: int = 9, min_tasks: int | None = None):
+    """Written blocks of users and items, and which of them meet: ``(users, items, needed, strips, shares)``.
+
+    ``shares`` are the numbers of user blocks and item blocks, for reports.
+    """
+    spark: SparkSession = users.sparkSession
+    user_stats, item_stats = _stats(users), _stats(items)
+    width = max(1, user_stats["width"] or 1, item_stats["width"] or 1)
+    n_users, n_items = user_stats["n"], item_stats["n"]
+    per_item_block = max(1, BLOCK_BYTES // (8 * width), math.ceil(n_items / MAX_BLOCKS))
+    normed = items.select("id", "features", _norm("features").alias("norm"))
+    item_blocks = stage_table("items", in_blocks(normed, F.desc("norm"), per_item_block))
+    # At most MAX_BLOCKS rows, but for the ends of partitions.
+    directory = item_blocks.groupBy("block").agg(F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n")).collect()
+    directory.sort(key=lambda r: (-r.norm, r.block))
+    norms = np.array([r.norm for r in directory], dtype=np.float64)
+    blocks = np.array([r.block for r in directory], dtype=np.int64)
+
+    # The seed is bounded by max(k, SEED_ITEMS) and one block.
+    first, held = [], 0
+    for row in directory:
+        if held >= max(k, SEED_ITEMS):
+            break
+        first.append(row.block)
+        held += row.n
+    best = item_blocks.filter(F.col("block").isin(first)).orderBy(F.desc("norm"), "id").limit(max(k, SEED_ITEMS))
+    deep = _depths(users, best.select("features").collect() if first else [], k, decimals)
+    tasks = min_tasks or spark.sparkContext.defaultParallelism
+    per_user_block = max(1, min(ROWS_PER_RESULT // max(1, k), BLOCK_BYTES * 8 // (8 * width), math.ceil(n_users / tasks)))
+    user_blocks = stage_table("users", in_blocks(deep, F.desc("depth"), per_user_block).withColumnRenamed("block", "ub"))
+    n_blocks = max(1, math.ceil(n_users / per_user_block))
+    strips = max(1, min(math.ceil(tasks / n_blocks), len(directory)))
+    needed = _needed(user_blocks.groupBy("ub").agg(F.min("depth").alias("depth")).select("ub", "depth"), norms, blocks, strips)
+    return user_blocks, item_blocks, stage_table("needed", needed), strips, (n_blocks, len(directory))
+
+
 def factor_topk(
     users: DataFrame, items: DataFrame, k: int, decimals: int = 9, min_tasks: int | None = None
 ) -> DataFrame:
     """``(user_id, book_id, rating, rank)``: the k best items of each user.
 
     ``users`` and ``items`` are ``(id, features ARRAY)`` with unique ids. Scores
-    equal to ``decimals`` places count as ties. ``min_tasks`` (default: the
-    cluster's parallelism) makes more, smaller user blocks when there are few.
+    equal to ``decimals`` places count as ties, which go to the lower id.
+    ``min_tasks`` (default: the cluster's parallelism) makes more, smaller units of
+    work when there are few users. Null features are no factors: such rows take no part.
     """
-    spark = users.sparkSession
-    user_stats, item_stats = _stats(users), _stats(items)
-    tasks = min_tasks or spark.sparkContext.defaultParallelism
-    item_blocks = _block_count(item_stats)
-    user_blocks = _block_count(user_stats, rows_limit=max(1, ROWS_PER_RESULT // k))
-    user_blocks = max(user_blocks, min(math.ceil(tasks / item_blocks), user_stats["n"] or 1))
-
-    def block(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-
-    def each(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = users.select("id", "features", block(user_blocks).alias("_ub"), each(item_blocks).alias("_ib"))
-    # Fresh names: with the same frame on both sides, shared columns would be pruned away.
-    right = items.select(
-        F.col("id").alias("item_id"),
-        F.col("features").alias("item_features"),
-        each(user_blocks).alias("_ub"),
-        block(item_blocks).alias("_ib"),
-    )
-    id_type = users.schema["id"].dataType.simpleString()
-    item_type = items.schema["id"].dataType.simpleString()
+    users, items = (side.select("id", "features").filter("features IS NOT NULL") for side in (users, items))
+    user_blocks, item_blocks, needed, strips, _ = block_plan(users, items, k, decimals, min_tasks)
+    id_type, item_type = (side.schema["id"].dataType.simpleString() for side in (users, items))
     arrow = {"int": pa.int32(), "bigint": pa.int64()}
     out = pa.schema([(USER, arrow[id_type]), (ITEM, arrow[item_type]), (RATING, pa.float64()), (RANK, pa.int32())])
 
-    def score(users_block: pa.Table, items_block: pa.Table) -> pa.Table:
-        if not users_block.num_rows or not items_block.num_rows:
-            return out.empty_table()
-        user_ids, user_factors = _matrix(users_block)
-        item_ids, item_factors = _matrix(items_block)
-        rows, best, scores = best_in_block(user_factors, item_ids, item_factors, k, decimals)
-        ranks = np.concatenate([np.arange(1, n + 1) for n in np.bincount(rows)])
-        return pa.table([user_ids[rows], best, scores, ranks.astype(np.int32)], schema=out)
-
-    scored = (
-        left.groupBy("_ub", "_ib")
-        .cogroup(right.groupBy("_ub", "_ib"))
-        .applyInArrow(score, f"{USER} {id_type}, {ITEM} {item_type}, {RATING} double, {RANK} int")
+    def side(rows: DataFrame, kind: int, norm: Column) -> DataFrame:
+        features = F.col("features").cast("array<double>")
+        return rows.select("ub", "strip", F.lit(kind).alias("kind"), "place", F.col("id").cast("bigint").alias("id"), features.alias("features"), norm.alias("norm"))
+
+    walkers = needed.select("ub", "strip").distinct()
+    first = side(user_blocks.join(walkers, "ub").withColumn("place", F.lit(-1)), 0, F.lit(0.0))
+    then = side(needed.join(item_blocks, "block"), 1, F.col("norm"))
+    stream = first.union(then).repartition("ub", "strip").sortWithinPartitions("ub", "strip", "kind", "place")
+    ranked = stream.mapInArrow(
+        lambda batches: _walk(batches, k, decimals, out), f"{USER} {id_type}, {ITEM} {item_type}, {RATING} double, {RANK} int"
     )
-    # One item block has already ranked all items; several need their lists merged.
-    return scored if item_blocks == 1 else top_k(scored.drop(RANK), k)
+    # A strip has ranked its own items only.
+    return ranked if strips == 1 else top_k(ranked.drop(RANK), k)

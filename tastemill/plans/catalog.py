@@ -4,17 +4,19 @@ result can be said in SQL, the statement that computes the same."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.operators import audit, blend, cleaning, labels, metrics, sampling, setops, splitting, topk
-from tastemill.operators.als import ALSConfig, fit_als, recommend, recommend_long
+from tastemill.operators import audit, blend, cleaning, labels, metrics, quality, sampling, setops, splitting, topk
+from tastemill.operators.als import ALSConfig, fit_als, recommend_long
+from tastemill.operators.als_check import fit_check
 from tastemill.operators.factors import factor_topk
 from tastemill.plans import experiments, prep
 from tastemill.plans.experiments import Run
 from tastemill.plans.prep import PrepConfig
-from tastemill.schema import ITEM, RATING, SPLIT, TEST, TRAIN, TRIPLE, USER, VAL
+from tastemill.schema import ITEM, RATING, REVIEWED, SPLIT, TEST, TRAIN, TRIPLE, USER, VAL
 from tastemill.session import shared_dir
 from tastemill.sources import scans, star, storage
 from tastemill.sources.storage import ArtifactStore, materialize
@@ -47,6 +49,8 @@ def oracles() -> dict[str, str]:
 # --- SQL building blocks -------------------------------------------------------------------------
 
 FULL_PREP = PrepConfig(fraction=1.0)
+#: The same with the review flag on every row.
+FLAGGED = replace(FULL_PREP, carry=(REVIEWED,))
 
 
 def _u(tag: str, key: str) -> str:
@@ -319,6 +323,17 @@ def _(spark, sf):
     FROM final JOIN inter ON final.user_id = inter.user_id AND final.book_id = inter.book_id""",
 )
 def _(spark, sf):
+    # The flag goes with the rows from the start, so that nothing is joined with the full table.
+    return prep.prep_splits(_facts(spark, sf), FLAGGED)
+
+
+@register(
+    "join_review_flag",
+    f"""WITH {_SPLIT} SELECT final.user_id, final.book_id, final.rating, split, inter.is_reviewed
+    FROM final JOIN inter ON final.user_id = inter.user_id AND final.book_id = inter.book_id""",
+)
+def _(spark, sf):
+    """The same for splits that were made without the flag."""
     return blend.attach_review_flag(_split(spark, sf), star.raw_interactions(spark, sf))
 
 
@@ -397,6 +412,26 @@ def _(spark, sf):
     return _factor_top(spark, sf).select(USER, ITEM, "rank", RATING)
 
 
+WIDE_K = 500
+
+
+@register(
+    "factor_topk_wide",
+    f"""WITH v AS (
+      SELECT vec_id, list_concat(embedding, embedding[1:36])::DOUBLE[] AS u, CAST(1 AS DOUBLE) / (1 + vec_id % 50) AS scale FROM embeddings),
+    s AS (
+      SELECT a.vec_id AS user_id, b.vec_id AS book_id, round(list_dot_product(a.u, list_transform(b.u, lambda x: x * b.scale)), 9) AS rating
+      FROM v a CROSS JOIN v b), t AS ({_top('s', WIDE_K)}) SELECT user_id, book_id, rank, rating FROM t""",
+)
+def _(spark, sf):
+    """Rank 100, 500 items a user, item norms that fall as those of fitted items do."""
+    whole = F.concat(F.col("embedding"), F.slice("embedding", 1, 36)).cast("array<double>")
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("id"), whole.alias("features"))
+    scale = F.lit(1.0) / (1 + F.col("id") % 50)
+    items = vectors.select("id", F.transform("features", lambda x: x * scale).alias("features"))
+    return factor_topk(vectors, items, WIDE_K).select(USER, ITEM, "rank", RATING)
+
+
 @register("pred_labels", f"{_FACTOR_TOP} SELECT user_id, {_joined('rank')} AS book_id FROM t GROUP BY user_id")
 def _(spark, sf):
     return topk.pred_labels(topk.as_recommendations(_factor_top(spark, sf))).select(USER, _text(ITEM))
@@ -504,7 +539,7 @@ def _(spark, sf):
     COUNT(DISTINCT book_id) AS n_items FROM final GROUP BY split""",
 )
 def _(spark, sf):
-    return audit.split_counts(_split(spark, sf))
+    return audit.split_counts(_split(spark, sf), dense_ids=True)
 
 
 @register(
@@ -559,7 +594,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     down = _basket_rows(spark, sf)
-    return audit.conservation(down, splitting.pick(splitting.train_val_test_split(down), TRAIN, VAL, TEST))
+    return quality.conservation(down, splitting.pick(splitting.train_val_test_split(down), TRAIN, VAL, TEST))
 
 
 def _n_duplicates(name: str, source: str) -> str:
@@ -573,9 +608,60 @@ def _n_duplicates(name: str, source: str) -> str:
     {_n_duplicates('full', 'raw')} UNION ALL {_n_duplicates('down', 'base')} UNION ALL {_n_duplicates('recombined', 'final')}""",
 )
 def _(spark, sf):
-    full = star.raw_interactions(spark, sf)
+    full = _stored(star.raw_interactions(spark, sf), "raw")
     down = sampling.downsample(full, 0.25)
-    return audit.duplicate_audit(full=full, down=down, recombined=splitting.train_val_test_split(down))
+    return quality.duplicate_audit(full=full, down=down, recombined=splitting.train_val_test_split(down))
+
+
+_SAMPLE = 0.25
+_FRAMES = {"full": "inter", "down": "base", **{s: f"(SELECT * FROM final WHERE split = '{s}')" for s in (TRAIN, VAL, TEST)}, "recombined": "final"}
+
+
+def _line(check: str, actual: str, expected: str) -> str:
+    return f"SELECT '{check}' AS \"check\", CAST({actual} AS DOUBLE) AS actual, CAST({expected} AS DOUBLE) AS expected"
+
+
+def _users(frame: str) -> str:
+    return f"(SELECT COUNT(DISTINCT user_id) FROM {_FRAMES[frame]})"
+
+
+def _duplicated(frame: str) -> str:
+    return f"(SELECT COUNT(*) FROM (SELECT user_id, book_id FROM {_FRAMES[frame]} GROUP BY 1, 2 HAVING COUNT(*) > 1))"
+
+
+def _quality_sql() -> str:
+    lines = []
+    for name, source in _FRAMES.items():
+        lines.append(_line(f"{name}: users", _users(name), "NULL"))
+        lines.append(_line(f"{name}: items", f"(SELECT COUNT(DISTINCT book_id) FROM {source})", "NULL"))
+        lines.append(_line(f"{name}: rows", f"(SELECT COUNT(*) FROM {source})", "NULL"))
+    share = lambda a, b: f"round(CAST({_users(a)} AS DOUBLE) / {_users(b)}, 9)"
+    lines += [
+        _line("sampled users of all users", share("down", "full"), str(_SAMPLE)),
+        _line("train users of sampled users", share("train", "down"), "1"),
+        _line("val users of sampled users", share("val", "down"), "0.2"),
+        _line("test users of sampled users", share("test", "down"), "0.2"),
+        _line("split rows of sampled rows", "round((SELECT COUNT(*) FROM final) / CAST((SELECT COUNT(*) FROM base) AS DOUBLE), 9)", "1"),
+        _line(
+            "sampled triples not in the splits",
+            "(SELECT COUNT(*) FROM (SELECT * FROM base EXCEPT SELECT user_id, book_id, rating FROM final))",
+            "(SELECT COUNT(*) FROM (SELECT DISTINCT * FROM base WHERE book_id NOT IN (SELECT book_id FROM final WHERE split = 'train')))",
+        ),
+        _line("split triples not in the sample", "(SELECT COUNT(*) FROM (SELECT user_id, book_id, rating FROM final EXCEPT SELECT * FROM base))", "0"),
+        _line("full: duplicated keys", _duplicated("full"), "0"),
+        _line("down: duplicated keys", _duplicated("down"), "0"),
+        _line("recombined: duplicated keys", _duplicated("recombined"), _duplicated("down")),
+    ]
+    baskets = _BASKETS.replace("WHERE rating > 0)", f"WHERE rating > 0 AND {_U_DOWN} < {_SAMPLE})")
+    return f"WITH {baskets} " + " UNION ALL ".join(lines)
+
+
+@register("quality_report", _quality_sql())
+def _(spark, sf):
+    full = _stored(star.baskets(spark, sf), "baskets")
+    down = cleaning.remove_zeros(cleaning.project_triples(sampling.downsample(full, _SAMPLE)))
+    report = quality.quality_report(full, splitting.train_val_test_split(down), _SAMPLE, sampled=F.col(RATING) > 0)
+    return report.select("check", F.round("actual", 9).alias("actual"), F.round("expected", 9).alias("expected"))
 
 
 # --- H6, I: labels and metrics --------------------------------------------------------------------
@@ -714,20 +800,30 @@ QUICK = ALSConfig(rank=10, reg=0.01)
 def _ratings(spark, sf):
     """The split as a stored table, so that a fit does not recompute the derived view."""
     facts = _facts(spark, sf)
-    return facts, _stored(prep.prep_splits(facts, FULL_PREP), "splits")
+    return facts, _stored(prep.prep_splits(facts, FLAGGED), "splits")
 
 
 def _als(spark, sf, implicit: bool):
-    facts, tagged = _ratings(spark, sf)
+    _, tagged = _ratings(spark, sf)
     train = splitting.pick(tagged, TRAIN)
-    if implicit:
-        train = blend.attach_review_flag(train, facts)
     config = ALSConfig(QUICK.rank, QUICK.reg, implicit)
     return fit_als(train, config), train, splitting.pick(tagged, VAL)
 
 
-def _recs_text(recs: DataFrame) -> DataFrame:
-    return recs.select(USER, F.to_json("recommendations").alias("recommendations"))
+def _lists_audit(ranked: DataFrame, train: DataFrame) -> DataFrame:
+    """Of each user's list: items, those not in train, and whether ranks and scores run as they should."""
+    known = train.select(ITEM).distinct().withColumn("known", F.lit(1))
+    places = F.array_sort(F.collect_list(F.struct("rank", (-F.col(RATING)).alias("r"), F.col("known"))))
+    lists = ranked.join(known, ITEM, "left").groupBy(USER).agg(places.alias("l"), F.countDistinct(ITEM).alias("n_items"))
+    in_order = F.transform("l", lambda p: p["r"]) == F.array_sort(F.transform("l", lambda p: p["r"]))
+    ranks = F.transform("l", lambda p: p["rank"]) == F.sequence(F.lit(1), F.size("l"))
+    unknown = F.size(F.filter("l", lambda p: p["known"].isNull())).cast("bigint")
+    return lists.select(USER, "n_items", unknown.alias("n_unknown"), (in_order & ranks).alias("sound"))
+
+
+_LISTS = f"""WITH {_SPLIT} SELECT DISTINCT CAST(user_id AS INT) AS user_id,
+  LEAST({K}, (SELECT COUNT(DISTINCT book_id) FROM final WHERE split = 'train')) AS n_items, CAST(0 AS BIGINT) AS n_unknown, TRUE AS sound
+FROM final WHERE split = 'val'"""
 
 
 def _recs_audit(ranked: DataFrame, train: DataFrame, k: int) -> DataFrame:
@@ -756,10 +852,18 @@ FROM final WHERE split = 'val'"""
 
 
 def _als_queries(kind: str, implicit: bool) -> None:
-    @register(f"als_{kind}_recs")
+    @register(f"als_{kind}_recs", _LISTS)
     def _(spark, sf):
-        model, _, val = _als(spark, sf, implicit)
-        return _recs_text(recommend(model, val, K))
+        model, train, val = _als(spark, sf, implicit)
+        return _lists_audit(recommend_long(model, val, K), train)
+
+    @register(
+        f"als_{kind}_residual",
+        f"WITH {_SPLIT} SELECT COUNT(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS above FROM final WHERE split = 'train'",
+    )
+    def _(spark, sf):
+        model, train, _ = _als(spark, sf, implicit)
+        return fit_check(model, train, ALSConfig(QUICK.rank, QUICK.reg, implicit))
 
     @register(f"als_{kind}_audit", _AUDITED)
     def _(spark, sf):
@@ -804,42 +908,64 @@ def _(spark, sf):
     return _changed(first, experiments.get_recs(train, users, QUICK, run))
 
 
-@register("train_eval")
+_SETTINGS = ("fraction", "split", "k", "rank", "lambda", "weight", "users", "off_by")
+
+
+def _checked(results: DataFrame) -> DataFrame:
+    """What is certain of results: settings, users, and that MLlib finds the same metrics."""
+    return results.select(*_SETTINGS[:-1], F.round("off_by", 6).alias("off_by"))
+
+
+def _results_sql(rows: list[tuple[str, int, float, float]]) -> str:
+    """Rows of (split, rank, reg, weight); users are those of the split with relevant items."""
+    users = "(SELECT COUNT(DISTINCT user_id) FROM final WHERE final.split = r.split AND rating > 3)"
+    values = ", ".join(f"('{split}', {rank}, {reg}, {weight})" for split, rank, reg, weight in rows)
+    return f"""WITH {_SPLIT} SELECT CAST(1 AS DOUBLE) AS fraction, r.split, CAST({K} AS INT) AS k, CAST(rank AS INT) AS rank,
+    CAST("lambda" AS DOUBLE) AS "lambda", CAST(weight AS DOUBLE) AS weight, {users} AS users, CAST(0 AS DOUBLE) AS off_by
+    FROM (VALUES {values}) r(split, rank, "lambda", weight)"""
+
+
+CHECKED = Run(k=K, cross_check=True)
+_QUICK_ROW = _results_sql([(VAL, QUICK.rank, QUICK.reg, 0)])
+
+
+@register("train_eval", _QUICK_ROW)
 def _(spark, sf):
     _, tagged = _ratings(spark, sf)
-    return experiments.train_eval(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), QUICK, Run(k=K))
+    return _checked(experiments.train_eval(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), QUICK, CHECKED))
 
 
-@register("experiment_results")
+@register("experiment_results", _QUICK_ROW)
 def _(spark, sf):
     _, tagged = _ratings(spark, sf)
     path = shared_dir(spark, "results")
-    run = Run(k=K, results_path=path)
-    experiments.train_eval(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), QUICK, run)
-    return storage.read_results(spark, path)
+    run = replace(CHECKED, results_path=path)
+    # The same run twice is one row.
+    for _ in range(2):
+        experiments.train_eval(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), QUICK, run)
+    return _checked(storage.read_results(spark, path))
 
 
-@register("grid_search")
+@register("grid_search", _results_sql([(VAL, rank, reg, 0) for rank in experiments.GRID_RANKS for reg in experiments.GRID_REGS]))
 def _(spark, sf):
     _, tagged = _ratings(spark, sf)
-    train, val = splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL)
-    return experiments.tune(train, val, Run(k=K), ranks=(5, 10), regs=(0.01, 0.1))
+    return _checked(experiments.tune(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), CHECKED, parallel=4))
 
 
-@register("hybrid_als")
+@register("hybrid_als", _LISTS)
 def _(spark, sf):
     facts, tagged = _ratings(spark, sf)
-    users = splitting.pick(tagged, VAL).select(USER).distinct()
-    return experiments.hybrid_pred(splitting.pick(tagged, TRAIN), facts, users, QUICK, Run(k=K), weight=0.5)
+    train, users = splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL).select(USER).distinct()
+    return _lists_audit(experiments.hybrid_pred(train, facts, users, QUICK, Run(k=K), weight=0.5), train)
 
 
-@register("hybrid_tune")
+@register("hybrid_tune", _results_sql([(VAL, QUICK.rank, QUICK.reg, w) for w in blend.DEFAULT_WEIGHTS]))
 def _(spark, sf):
     facts, tagged = _ratings(spark, sf)
-    return experiments.tune_weight(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), facts, QUICK, Run(k=K))
+    return _checked(experiments.tune_weight(splitting.pick(tagged, TRAIN), splitting.pick(tagged, VAL), facts, QUICK, CHECKED))
 
 
-@register("final_test")
+@register("final_test", _results_sql([(TEST, 10, experiments.FINAL_REG, w) for w in (0, experiments.FINAL_WEIGHT)]))
 def _(spark, sf):
     facts, tagged = _ratings(spark, sf)
-    return experiments.final_test(tagged, facts, Run(k=K))
+    return _checked(experiments.final_test(tagged, facts, CHECKED))

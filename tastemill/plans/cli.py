@@ -11,7 +11,7 @@ from tastemill.operators.als import ALSConfig
 from tastemill.operators.splitting import pick
 from tastemill.plans.experiments import FINAL_REG, GRID_RANKS, GRID_REGS, Run, final_test, tune, tune_weight
 from tastemill.plans.prep import PrepConfig, load_splits, save_splits
-from tastemill.schema import ITEM, TRAIN, USER, VAL
+from tastemill.schema import ITEM, REVIEWED, TRAIN, USER, VAL
 from tastemill.session import build_session
 from tastemill.sources.scans import read_csv, read_parquet
 from tastemill.sources.storage import ArtifactStore, identity, materialize
@@ -29,6 +29,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interactions", required=True, help="CSV file or Parquet table")
     parser.add_argument("--work", required=True, help="shared folder for stored artifacts and results")
     parser.add_argument("--low-threshold", type=int, default=10)
+    parser.add_argument("--parallel", type=int, default=1, help="fits of a grid at a time")
     args = parser.parse_args(argv)
     if args.task == "hybrid-tune" and args.reg is None:
         parser.error("hybrid-tune needs rank and reg")
@@ -47,13 +48,13 @@ def run_task(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     full = load_interactions(spark, args.interactions, args.work)
     store = ArtifactStore(spark, args.work, identity(spark, args.interactions))
     if args.task == "save-splits":
-        return save_splits(full, store, low_threshold=args.low_threshold)
-    config = PrepConfig(args.fraction, low_threshold=args.low_threshold)
+        return save_splits(full, store, low_threshold=args.low_threshold, carry=(REVIEWED,))
+    config = PrepConfig(args.fraction, low_threshold=args.low_threshold, carry=(REVIEWED,))
     tagged = load_splits(full, config, store)
     run = Run(args.fraction, VAL, args.k, store, f"{args.work}/results", config)
     train, val = pick(tagged, TRAIN), pick(tagged, VAL)
     if args.task == "tune":
-        return tune(train, val, run, ranks=GRID_RANKS, regs=GRID_REGS)
+        return tune(train, val, run, ranks=GRID_RANKS, regs=GRID_REGS, parallel=args.parallel)
     if args.task == "hybrid-tune":
         return tune_weight(train, val, full, ALSConfig(args.rank, args.reg), run)
     reg = FINAL_REG if args.reg is None else args.reg

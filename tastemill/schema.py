@@ -18,5 +18,5 @@ BOOK_MAP_DDL = "book_id_csv INT, book_id STRING"
 RESULTS_DDL = (
     "ts TIMESTAMP, fraction DOUBLE, split STRING, k INT, rank INT, lambda DOUBLE, "
     "weight DOUBLE, users BIGINT, map DOUBLE, ndcg DOUBLE, precision DOUBLE, "
-    "fit_s DOUBLE, rec_s DOUBLE, eval_s DOUBLE"
+    "fit_s DOUBLE, rec_s DOUBLE, eval_s DOUBLE, off_by DOUBLE"
 )

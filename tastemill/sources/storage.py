@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tastemill.schema import ITEM, RESULTS_DDL, SPLIT, USER
+from tastemill.sources.lease import lease, rename
 
 DONE_MARKER = "_SUCCESS"
 
@@ -120,7 +124,8 @@ class ArtifactStore:
         **config,
     ) -> DataFrame:
         path = self.path(folder, **config)
-        return materialize(build, self.spark, path, sort_by, partition_by, True, schema)
+        with lease(self.spark, path, lambda: is_complete(self.spark, path)):
+            return materialize(build, self.spark, path, sort_by, partition_by, True, schema)
 
     def splits(self, build: Callable[[], DataFrame], schema: StructType, /, **config) -> DataFrame:
         """Splits are stored in one folder per split, so reading one skips the others."""
@@ -133,15 +138,27 @@ class ArtifactStore:
         """
         path = self.path("models", **config)
         # The writer saves the metadata first, so only the last part proves completion.
-        if not is_complete(self.spark, f"{path}/itemFactors"):
-            fit().write().overwrite().save(path)
+        with lease(self.spark, path, lambda: is_complete(self.spark, f"{path}/itemFactors")) as mine:
+            if mine:
+                fit().write().overwrite().save(path)
         return ALSModel.load(path)
 
 
-def append_results(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    """Append evaluation results, one row per configuration, to the results table."""
-    spark.createDataFrame(rows, RESULTS_DDL).coalesce(1).write.mode("append").parquet(path)
+def commit_results(spark: SparkSession, path: str, rows: list[tuple], /, **config) -> None:
+    """Put the evaluation results of one configuration into the results table, in one step.
+
+    They are written aside and then renamed, so a job that is killed leaves nothing to be read. The
+    same configuration again is another commit of the same id, of which readers take the last.
+    """
+    aside = f"{path}/.attempt-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, RESULTS_DDL).coalesce(1).write.parquet(aside)
+    rename(spark, aside, f"{path}/id={fingerprint(**config)}/commit={time.time_ns()}")
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RESULTS_DDL).parquet(path)
+    """The last committed rows of each configuration; none if there is no table yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], RESULTS_DDL)
+    stored = spark.read.schema(f"{RESULTS_DDL}, id STRING, commit BIGINT").parquet(path)
+    last = F.max("commit").over(Window.partitionBy("id"))
+    return stored.withColumn("last", last).filter("commit = last").drop("id", "commit", "last")

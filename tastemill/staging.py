@@ -5,23 +5,72 @@ same rows. Writing the list has three effects: the plan stays linear (one pass
 to derive, one to apply) instead of carrying the derivation inside every later
 step; a lost executor does not bring the derivation back; and the size of the
 list is known, so Catalyst broadcasts it only if it is below the threshold.
+
+What is staged has an owner: the innermost open ``scratch`` block, or else the
+application. A block removes its tables when it ends, also if it fails; so it must
+hold whatever reads them. What the application owns goes when it ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import threading
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tastemill.session import shared_dir
+from tastemill.sources.lease import remove
 
 Stage = Callable[[str, DataFrame], DataFrame]
 
+_scopes = threading.local()
+_left: list[str] = []
+_exit: list[SparkSession] = []
+
+
+def _owned(spark: SparkSession, path: str) -> str:
+    scope = getattr(_scopes, "open", None)
+    if scope:
+        scope[-1].append(path)
+    else:
+        _left.append(path)
+        if spark not in _exit:
+            _exit.append(spark)
+    return path
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder that goes with its owner."""
+    return _owned(spark, shared_dir(spark, name))
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Owner of all that is staged inside, by the same thread; what reads it must run inside too."""
+    scopes = _scopes.__dict__.setdefault("open", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            remove(spark, path)
+
+
+@atexit.register
+def _remove_left() -> None:
+    """At the end of the application, as far as its session still runs."""
+    spark = next((s for s in _exit if s.sparkContext._jsc is not None), None)
+    if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+        for path in _left:
+            remove(spark, path)
+
 
 def stage_table(name: str, df: DataFrame) -> DataFrame:
     """Write ``df`` to a fresh folder and return the scan of it."""
     spark = df.sparkSession
-    path = shared_dir(spark, f"stage-{name}")
+    path = scratch_dir(spark, f"stage-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

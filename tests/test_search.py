@@ -1,0 +1,81 @@
+"""Maximum inner product search against all products."""
+
+import numpy as np
+import pytest
+from conftest import rows
+
+from tastemill.operators import factors
+
+
+def frame(spark, vectors, first_id=0):
+    return spark.createDataFrame([(first_id + k, [float(x) for x in v]) for k, v in enumerate(vectors)], "id INT, features ARRAY<FLOAT>")
+
+
+def brute(users, items, k, first_item=0, decimals=9):
+    found = []
+    for u, vector in enumerate(users.astype(np.float32).astype(float)):
+        scores = np.round(items.astype(np.float32).astype(float) @ vector, decimals)
+        best = np.lexsort((np.arange(len(items)), -scores))[:k]
+        found += [(u, first_item + int(i), float(scores[i]), rank) for rank, i in enumerate(best, 1)]
+    return sorted(found)
+
+
+def falling(rng, n, width):
+    """Vectors whose norms spread over some orders of magnitude, as those of fitted items do."""
+    return rng.standard_normal((n, width)) * np.exp(rng.standard_normal((n, 1)) * 1.5)
+
+
+@pytest.mark.parametrize("k,block_bytes,tasks", [(1, 400, 1), (7, 800, 3), (50, 1_000, 40), (400, 4_000_000, 8)])
+def test_all_norms_and_shapes(spark, monkeypatch, k, block_bytes, tasks):
+    monkeypatch.setattr(factors, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(factors, "SEED_ITEMS", 20)
+    monkeypatch.setattr(factors, "SCORES_PER_BATCH", 500)
+    rng = np.random.default_rng(k)
+    users, items = rng.standard_normal((60, 5)), falling(rng, 300, 5)
+    users[3] = 0
+    items[10:14] = items[9]  # ties
+    got = rows(factors.factor_topk(frame(spark, users), frame(spark, items, 1000), k, min_tasks=tasks), "user_id", "book_id", "rating", "rank")
+    want = brute(users, items, k, 1000)
+    assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want])
+
+
+def test_small_norms_are_not_looked_at(spark, monkeypatch):
+    """With falling norms most pairs of blocks are never made, and of those made many products are skipped."""
+    monkeypatch.setattr(factors, "BLOCK_BYTES", 8 * 8 * 25)
+    monkeypatch.setattr(factors, "SEED_ITEMS", 100)
+    rng = np.random.default_rng(0)
+    users, items = rng.standard_normal((200, 8)), falling(rng, 2000, 8)
+    _, _, needed, strips, (user_blocks, item_blocks) = factors.block_plan(frame(spark, users), frame(spark, items), 10, min_tasks=4)
+    assert strips == 1 and item_blocks >= 80
+    assert needed.count() < 0.2 * user_blocks * item_blocks
+    got = rows(factors.factor_topk(frame(spark, users), frame(spark, items), 10, min_tasks=4), "user_id", "book_id", "rank")
+    assert got == [w[:2] + w[3:] for w in brute(users, items, 10)]
+
+
+def test_a_walk_closes_what_the_seed_left_open():
+    rng = np.random.default_rng(1)
+    users, items = rng.standard_normal((50, 6)), falling(rng, 1000, 6)
+    items = items[np.argsort(-np.linalg.norm(items, axis=1))]
+    state = factors.Best(None, users, 5, 9)
+    for start in range(0, 1000, 50):
+        block = items[start : start + 50]
+        state.look(np.arange(start, start + 50), block, float(np.linalg.norm(block, axis=1).max()))
+        state.settle()
+    assert state.products < 0.5 * users.shape[0] * len(items)
+    scores = np.round(users @ items.T, 9)
+    for u in range(50):
+        assert state.item[state.row == u].tolist() == np.lexsort((np.arange(1000), -scores[u]))[:5].tolist()
+
+
+def test_no_cartesian_product_and_no_merge(spark):
+    rng = np.random.default_rng(2)
+    users, items = frame(spark, rng.standard_normal((90, 4))), frame(spark, rng.standard_normal((50, 4)))
+    plan = factors.factor_topk(users, items, 3, min_tasks=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Window" not in plan
+
+
+def test_null_features_and_odd_tables(spark):
+    users = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id INT, features ARRAY<FLOAT>")
+    assert rows(factors.factor_topk(users, users, 5), "user_id", "book_id", "rank") == [(1, 1, 1)]
+    assert factors.factor_topk(users, users.limit(0), 5).count() == 0
