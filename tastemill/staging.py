@@ -16,8 +16,9 @@ from __future__ import annotations
 import atexit
 import threading
 from collections.abc import Callable
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from tastemill.session import shared_dir
@@ -62,9 +63,11 @@ def scratch(spark: SparkSession):
 def _remove_left() -> None:
     """At the end of the application, as far as its session still runs."""
     spark = next((s for s in _exit if s.sparkContext._jsc is not None), None)
-    if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
-        for path in _left:
-            remove(spark, path)
+    # The gateway may have ended before this process does; then there is nobody left to ask.
+    with suppress(Py4JError, OSError):
+        if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+            for path in _left:
+                remove(spark, path)
 
 
 def stage_table(name: str, df: DataFrame) -> DataFrame:

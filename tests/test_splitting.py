@@ -5,7 +5,7 @@ import data
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
-from tastemill.operators import audit, cleaning, sampling, skew, splitting
+from tastemill.operators import audit, cleaning, quality, sampling, skew, splitting
 from tastemill.plans import prep
 from tastemill.plans.prep import PrepConfig
 from tastemill.sources import star
@@ -125,7 +125,7 @@ def test_audit_finds_a_broken_split(basket_rows):
 def test_conservation(basket_rows):
     final = splitting.train_val_test_split(basket_rows)
     removed = basket_rows.count() - final.count()
-    got = dict(map(tuple, audit.conservation(basket_rows, final.drop("split")).collect()))
+    got = dict(map(tuple, quality.conservation(basket_rows, final.drop("split")).collect()))
     assert got == {"down - recombined": removed, "recombined - down": 0}
 
 
