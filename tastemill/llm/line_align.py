@@ -8,13 +8,14 @@ the number of pairs grows with the number of lines, however many documents share
 a passage. Every line with words in a block worth deleting lies in a run of that
 block, from the block's first line on or up to the line itself.
 
-Each pair is aligned with patience diff (lines that are unique on both sides,
-longest increasing subsequence, then the gaps between them). Common blocks of at
-least ``min_words`` words are deleted from the later document. The alignment is
-repeated on what is left, which finds blocks in another order than the first
-document's. In a gap without unique lines, runs are looked up instead. The chain
-leaves out what crosses it, so in the end every run of the later document that
-the first one holds is deleted, wherever it stands: no block is missed.
+Each pair is aligned by patience: the anchors are the runs that both sides hold (rare
+as they are, most stand once on either side), and one pass deals them, in the order
+of the later document, onto piles on which places in the earlier one only rise. The
+first pile is what patience diff would follow; the others are the alignments of what
+crosses it, so no block is missed, whatever its place. Along a pile, anchors on one
+diagonal make a common block, which grows over the equal lines at its ends, and is
+deleted from the later document: it has at least ``min_words`` words. Time goes with
+the number of lines times its logarithm.
 
 Order is by doc_id, nulls last, then by the text's hash. Rows equal in doc_id and
 text are one document, and each of them gets its result. Lines end at a line
@@ -27,7 +28,6 @@ delete; an empty table gives no rows; other columns are passed on unchanged.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -63,103 +63,80 @@ def runs_up_to(lines: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np
     return hashes[::-1], len(lines) - ends[::-1]
 
 
-def held_lines(a: np.ndarray, a_words: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int) -> set[int]:
-    """Lines of ``b`` in runs that ``a`` holds, wherever they stand in both."""
-    of_a = np.concatenate([runs(a, a_words, min_words)[0], runs_up_to(a, a_words, min_words)[0]])
-    edges = np.zeros(len(b) + 1, dtype=np.int64)
-    hashes, ends = runs(b, b_words, min_words)
-    at = np.flatnonzero((hashes != 0) & np.isin(hashes, of_a))
-    np.add.at(edges, at, 1)
-    np.add.at(edges, ends[at], -1)
-    hashes, starts = runs_up_to(b, b_words, min_words)
-    at = np.flatnonzero((hashes != 0) & np.isin(hashes, of_a))
-    np.add.at(edges, starts[at], 1)
-    np.add.at(edges, at + 1, -1)
-    return set(np.flatnonzero(np.cumsum(edges[:-1]) > 0).tolist())
-
-
-def matched(a: list[int], b: list[int], run_of) -> list[tuple[int, int]]:
-    """Positions of equal lines of ``a`` and ``b`` as patience diff pairs them."""
-    pairs: list[tuple[int, int]] = []
-    stack = [(0, len(a), 0, len(b))]
-    while stack:
-        a0, a1, b0, b1 = stack.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            pairs.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-            a1, b1 = a1 - 1, b1 - 1
-            pairs.append((a1, b1))
-        if a0 == a1 or b0 == b1:
-            continue
-        in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
-        at = {x: k for k, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and in_b.get(x) == 1}
-        unique = [(at[x], k) for k, x in enumerate(b[b0:b1], b0) if x in at]
-        if not unique:
-            pairs += run_of(a0, a1, b0, b1)
-            continue
-        chain = _increasing(unique)
-        for (p, q), (r, s) in zip([(a0 - 1, b0 - 1), *chain], [*chain, (a1, b1)]):
-            stack.append((p + 1, r, q + 1, s))
-        pairs += chain
-    return pairs
-
-
-def _increasing(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest chain of points that increases on both sides; they come in order of the second."""
-    tails: list[int] = []
-    tops: list[int] = []
-    back = [-1] * len(points)
-    for k, (x, _) in enumerate(points):
-        pile = bisect_left(tails, x)
-        back[k] = tops[pile - 1] if pile else -1
-        if pile == len(tails):
-            tails.append(x)
-            tops.append(k)
+def anchors(a: np.ndarray, a_words: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
+    """``(place in a, place in b, lines)`` of every run of ``b`` that ``a`` holds, by their places in ``b``.
+
+    Of several places in ``a`` the one that goes on with the anchor before is taken, else the first.
+    """
+    run_a, end_a = runs(a, a_words, min_words)
+    up_a, start_a = runs_up_to(a, a_words, min_words)
+    first: dict[int, int] = {}
+    for k, (h, g) in enumerate(zip(run_a.tolist(), up_a.tolist())):
+        if h:
+            first.setdefault(h, k)
+        if g:
+            first.setdefault(g, int(start_a[k]))
+    run_b, end_b = runs(b, b_words, min_words)
+    up_b, start_b = runs_up_to(b, b_words, min_words)
+    spans = {(k, int(end_b[k]), h) for k, h in enumerate(run_b.tolist()) if h in first and h}
+    spans |= {(int(start_b[k]), k + 1, h) for k, h in enumerate(up_b.tolist()) if h in first and h}
+    found: list[tuple[int, int, int]] = []
+    shift = 0
+    for q, end, h in sorted(spans):
+        p = q + shift
+        if not (0 <= p and p + end - q <= len(a) and (run_a[p] == h or up_a[p + end - q - 1] == h)):
+            p = first[h]
+            shift = p - q
+        found.append((p, q, end - q))
+    return found
+
+
+def piles(places: list[int]) -> list[list[int]]:
+    """Numbers of the places on each pile: a place goes onto the pile with the highest top below it, or makes a new one."""
+    tops: list[int] = []  # negative, so that they rise
+    found: list[list[int]] = []
+    for k, place in enumerate(places):
+        # Tops fall from pile to pile; the first that is not above the place takes it.
+        at = bisect_left(tops, -place)
+        if at == len(tops):
+            tops.append(-place)
+            found.append([k])
         else:
-            tails[pile], tops[pile] = x, k
-    out, k = [], tops[-1] if tops else -1
-    while k >= 0:
-        out.append(points[k])
-        k = back[k]
-    return out[::-1]
+            tops[at] = -place
+            found[at].append(k)
+    return found
 
 
 def deleted_lines(a: np.ndarray, a_words: np.ndarray, b: np.ndarray, b_words: np.ndarray, min_words: int) -> list[int]:
     """Lines of ``b`` in blocks of at least ``min_words`` words that ``a`` holds."""
-    run_a, _ = runs(a, a_words, min_words)
-    first: dict[int, int] = {}
-    for k, h in enumerate(run_a.tolist()):
-        if h:
-            first.setdefault(h, k)
-    left_a, left_b = a.tolist(), b.tolist()
-    gone: set[int] = set()
-    while True:
-        run_b, end_b = runs(np.array(left_b, dtype=np.int64), b_words, min_words)
-
-        def run_of(a0, a1, b0, b1, run_b=run_b, end_b=end_b):
-            found = {}
-            for k in range(b0, b1):
-                p = first.get(int(run_b[k]), -1) if run_b[k] else -1
-                if p >= a0 and p + end_b[k] - k <= a1 and end_b[k] <= b1:
-                    found.update((k + n, p + n) for n in range(int(end_b[k]) - k))
-            return [(p, k) for k, p in found.items()]
-
-        new: list[int] = []
-        block: list[int] = []
-        last = (-2, -2)
-        for p, q in [*sorted(matched(left_a, left_b, run_of), key=lambda x: x[1]), (-9, -9)]:
-            if (p, q) != (last[0] + 1, last[1] + 1):
-                if block and int(b_words[block].sum()) >= min_words:
-                    new += block
-                block = []
-            block.append(q)
-            last = (p, q)
-        if not new:
-            return sorted(gone | held_lines(a, a_words, b, b_words, min_words))
-        gone.update(new)
-        for q in new:
-            left_b[q] = -1 - q  # equal to no line: hashes are not negative
+    found = anchors(a, a_words, b, b_words, min_words)
+    covered = np.zeros(len(b) + 1, dtype=np.int64)
+    blocks: list[tuple[int, int, int]] = []
+    for pile in piles([p for p, _, _ in found]):
+        start = found[pile[0]]
+        p, q, end = start[0], start[1], start[1] + start[2]
+        for k in pile[1:]:
+            p2, q2, n = found[k]
+            if p2 - q2 == p - q and q2 <= end:
+                end = max(end, q2 + n)
+            else:
+                blocks.append((p - q, q, end))
+                p, q, end = p2, q2, q2 + n
+        blocks.append((p - q, q, end))
+    for _, q, end in blocks:
+        covered[q] += 1
+        covered[end] -= 1
+    inside = np.cumsum(covered[:-1]) > 0
+    # Lines at the ends, as far as both sides go on alike; each is looked at once from either side.
+    more = inside.copy()
+    for shift, q, end in blocks:
+        while end < len(b) and end + shift < len(a) and not more[end] and a[end + shift] == b[end]:
+            more[end] = True
+            end += 1
+        while q > 0 and q + shift > 0 and not more[q - 1] and a[q + shift - 1] == b[q - 1]:
+            q -= 1
+            more[q] = True
+    return np.flatnonzero(more).tolist()
 
 
 def profile(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -236,6 +213,20 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """The texts without the lines of these numbers; null stays null."""
+    out = []
+    for k in range(len(texts)):
+        text = texts[k].as_py()
+        if text is not None:
+            lines = text.split("\n")
+            left = np.ones(len(lines), dtype=bool)
+            left[gone[k].values.to_numpy()] = False
+            text = "\n".join(line for line, stays in zip(lines, left.tolist()) if stays)
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
 def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, gone_column: str | None = None, holders_column: str | None = None) -> DataFrame:
     """``docs`` with the repeated blocks taken out of ``text``; rows without any are as they were.
 
@@ -249,7 +240,8 @@ def remove_repeated(docs: DataFrame, min_words: int = MIN_WORDS, gone_column: st
     row_key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), F.xxhash64(text).alias("h"))
     # The list grows with the input: it is never broadcast, so that the plan is the same at every size.
     joined = docs.withColumn(h, row_key).join(found.hint("merge"), F.col(h) == F.col(key), "left")
-    rest = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col(gone), i)), "\n")
+    touched = F.when(F.col(gone).isNotNull(), text)
+    rest = F.arrow_udf(_without, "string")(touched, F.col(gone))
     columns = [F.when(F.col(gone).isNull(), F.col("text")).otherwise(rest).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     extra = [F.col(gone).alias(gone_column)] if gone_column else []
     ids = F.transform(holders, lambda x: F.when(~x.no_id, x.id))
