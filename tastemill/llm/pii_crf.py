@@ -7,7 +7,8 @@ that repeats it or is similar: the same digits or the same last seven, the same
 address or the same name before the ``@``. Labels of pattern spans are observed;
 loopy message passing carries them to the tokens that no pattern matches, such as
 a number repeated without its country code, and these become additional spans.
-Without an observed label, shapes and edges alone decide.
+Without an observed label, shapes and edges alone decide. A match that fails its
+check (Luhn, number of digits, parts over 255) bars its tokens from that kind.
 
 Training is by distant supervision on the patterns' spans of at most
 ``TRAIN_DOCS`` documents, with all of their candidates: a softmax on token
@@ -47,7 +48,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_MARK = re.compile("[0-9@]")
 _CUE = re.compile(r"([^\W\d_]+)\W*\Z")
 _EDGE = ".,;:!?|\"'()[]{}<>"
 _DIGITS = re.compile("[0-9]")
@@ -74,30 +76,39 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, number of the kind, end) of all pattern spans, by start, then kind."""
-    found = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
+def judged_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(start, number of the kind, end) of all matches by start, then kind: those that pass, and those that fail their check."""
+    found: tuple[list, list] = ([(a, 0, b) for a, b in emails(text)] if "@" in text else [], [])
     if not _DIGITS.search(text):
         return found
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split(".")):
-            found.append((m.start(), 1, m.end()))
+        good = all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split("."))
+        found[not good].append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
-        if 12 <= len(digits) <= 19 and luhn(digits):
-            found.append((m.start(), 2, m.end()))
+        good = 12 <= len(digits) <= 19 and luhn(digits)
+        found[not good].append((m.start(), 2, m.end()))
     if "+" in text:
         for m in _PHONE.finditer(text):
-            if 9 <= len(_DIGITS.findall(m[0])) <= 15:
-                found.append((m.start(), 3, m.end()))
-    return sorted(found)
+            good = 9 <= len(_DIGITS.findall(m[0])) <= 15
+            found[not good].append((m.start(), 3, m.end()))
+    return sorted(found[0]), sorted(found[1])
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, number of the kind, end) of all pattern spans, by start, then kind."""
+    return judged_spans(text)[0]
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Tokens with a digit or an ``@``, without punctuation around them."""
     out = []
+    if not _MARK.search(text):
+        return out
     for m in _TOKEN.finditer(text):
         token = m[0]
+        if not _MARK.search(token):
+            continue
         start = m.start() + len(token) - len(token.lstrip(_EDGE))
         end = m.end() - len(token) + len(token.rstrip(_EDGE))
         if start < end:
@@ -175,6 +186,16 @@ def observed(tokens: list[tuple[int, int]], spans: list[tuple[int, int, int]]) -
     return out
 
 
+def refused(tokens: list[tuple[int, int]], failed: list[tuple[int, int, int]]) -> np.ndarray:
+    """Which labels a token cannot have: a pattern matched over it and its check (Luhn, digits, parts) failed."""
+    out = np.zeros((len(tokens), len(LABELS)), dtype=bool)
+    starts = np.array([a for a, _ in tokens], dtype=np.int64)
+    ends = np.array([b for _, b in tokens], dtype=np.int64)
+    for start, kind, end in failed:
+        out[np.searchsorted(ends, start, side="right") : np.searchsorted(starts, end, side="left"), kind + 1] = True
+    return out
+
+
 @dataclass(frozen=True)
 class Field:
     """Softmax weights of shapes, and log-potentials of label pairs on both kinds of edges."""
@@ -183,9 +204,14 @@ class Field:
     chain: np.ndarray
     skip: np.ndarray
 
-    def beliefs(self, features: np.ndarray, seen: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        """Marginal label probabilities by loopy sum-product message passing."""
+    def beliefs(self, features: np.ndarray, seen: np.ndarray, chain: np.ndarray, skip: np.ndarray, barred: np.ndarray | None = None) -> np.ndarray:
+        """Marginal label probabilities by loopy sum-product message passing; exact where the edges form a tree.
+
+        ``barred`` says which labels a token cannot have.
+        """
         local = features @ self.shapes
+        if barred is not None:
+            local[barred] = -30.0
         local[seen >= 0] = -30.0
         local[seen >= 0, seen[seen >= 0]] = 0.0
         source = np.concatenate([chain[:, 0], chain[:, 1], skip[:, 0], skip[:, 1]])
@@ -208,14 +234,14 @@ class Field:
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """All spans of a text: the patterns' and the field's, by start, then kind."""
-        base = base_spans(text)
+        base, failed = judged_spans(text)
         tokens = candidates(text)
         seen = observed(tokens, base)
         if not len(tokens) or (seen >= 0).all():
             return base
         features = np.array([shape(text, a, b) for a, b in tokens])
         chain, skip = graph(text, tokens)
-        belief = self.beliefs(features, seen, chain, skip)
+        belief = self.beliefs(features, seen, chain, skip, refused(tokens, failed))
         label = np.where(seen < 0, belief.argmax(axis=1), 0)
         sure = (label > 0) & (belief.max(axis=1) >= SURE)
         added: list[tuple[int, int, int]] = []
