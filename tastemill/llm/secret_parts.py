@@ -33,15 +33,18 @@ from tastemill.staging import stage_table
 
 SCOPE = 200
 OPEN, CLOSE = "\x01", "\x02"
+#: Pieces of a marked text that are walked in one go.
+CHUNK = 256
 
 #: Plain kinds in their order, each with its pattern. The lengths are checked after the match.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PLAIN = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}"}
-#: Weak kinds: pattern and role.
+#: Weak kinds: pattern and role. Only single classes repeat, which Java does in a loop; a repeated group takes a stack
+#: frame per turn, and a host name with thousands of labels would end the executor.
 WEAK = {
     "ident": (r"""(?i:user(?:name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{3,}""", "who"),
-    "endpoint": (r"(?:https?|jdbc:[a-z]+|ftp|postgres(?:ql)?|mysql|mongodb)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]{4,}|(?<![A-Za-z0-9.-])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}(?![0-9])", "where"),
-    "value": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?![A-Za-z0-9+/_-])", "what"),
+    "endpoint": (r"(?:https?|jdbc:[a-z]+|ftp|postgres(?:ql)?|mysql|mongodb)://[A-Za-z0-9._~:/?#@!$&*+,;=%-]{4,}|(?<![A-Za-z0-9.-])(?=[A-Za-z0-9-]++\.)(?![A-Za-z0-9.-]*?\.\.)[A-Za-z0-9.-]++(?<!\.):[0-9]{2,5}(?![0-9])", "where"),
+    "value": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+", "what"),
 }
 #: What a text must contain, one of them, to have a match at all: spares most texts the pattern.
 HINTS = {"assign": (":", "="), "access": ("AKIA",), "ident": (":", "="), "endpoint": (":",)}
@@ -54,7 +57,7 @@ def spans_of(text: Column, kind: str, pattern: str) -> Column:
     marked_already = F.contains(text, F.lit(OPEN)) | F.contains(text, F.lit(CLOSE))
     plain = F.when(marked_already, F.translate(text, OPEN + CLOSE, "\x03\x03")).otherwise(text)
     pieces = F.split(F.regexp_replace(plain, pattern, OPEN + "$0" + CLOSE), OPEN, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, end: int, match: string>>").alias("found"))
+    none = F.array().cast("array<struct<start: int, end: int, match: string>>")
 
     def step(state: Column, piece: Column) -> Column:
         close = F.instr(piece, CLOSE)
@@ -63,12 +66,20 @@ def spans_of(text: Column, kind: str, pattern: str) -> Column:
         found = F.when(close > 0, F.concat(state.found, F.array(span))).otherwise(state.found)
         return F.struct((state.at + F.length(piece) - F.when(close > 0, 1).otherwise(0)).alias("at"), found.alias("found"))
 
-    marked = F.aggregate(pieces, zero, step, lambda state: state.found)
+    def part(state: Column, chunk: Column) -> Column:
+        """The spans of one chunk of pieces, from where the chunk before ends."""
+        at = F.coalesce(F.get(state, F.size(state) - 1).getField("at"), F.lit(0))
+        return F.concat(state, F.array(F.aggregate(chunk, F.struct(at.alias("at"), none.alias("found")), step)))
+
+    # An array grows by copying, so spans are gathered per chunk: the work is CHUNK times the matches, not their square.
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int")), lambda k: F.slice(pieces, k * CHUNK + 1, F.lit(CHUNK)))
+    parts = F.array().cast("array<struct<at: int, found: array<struct<start: int, end: int, match: string>>>>")
+    marked = F.flatten(F.transform(F.aggregate(chunks, parts, part), lambda done: done.found))
     # Most texts have no match and are not rebuilt at all.
     hinted = F.lit(True)
     if kind in HINTS:
         hinted = reduce(or_, (F.contains(text, F.lit(h)) for h in HINTS[kind]))
-    return F.when(hinted & text.rlike(pattern), marked).otherwise(zero.getField("found"))
+    return F.when(hinted & text.rlike(pattern), marked).otherwise(none)
 
 
 def is_long_enough(kind: str, match: Column) -> Column:
