@@ -17,8 +17,9 @@ as its score goes beyond what a text of that length shows by chance; the sum ove
 segments, mapped to a probability by a logistic curve, is the document's score.
 
 The labelled rows are a sample of at most ``SAMPLE`` rows (all, if there are no
-more); everything else covers all documents. The lexicon holds at most
-``LEXICON`` features, those of the highest score.
+more); everything else covers all documents. The lexicon has the features of the
+sample that score, and forms of theirs that do not: it grows with the sample, not
+with the documents, and none of it is cut.
 
 Defined results: a null or empty text has no segment and gets the score of that;
 without labelled rows of both classes the score is 0 everywhere; labels of a
@@ -43,7 +44,6 @@ from tastemill.llm.common import Batches, bounds, fresh_name, id_and_text, in_sl
 from tastemill.staging import stage_table
 
 SAMPLE = 200_000
-LEXICON = 200_000
 #: Weight of the prior, in documents.
 PRIOR = 4.0
 #: Standard errors that are taken off a token's toxic share.
@@ -169,38 +169,29 @@ def _count(docs: DataFrame) -> DataFrame:
 
 def _lexicon(counts: DataFrame, share: float) -> dict[str, float]:
     """Scores by feature. A token without evidence against its stem is not listed: the stem speaks for it."""
-    kind, rest, none = F.substring("feature", 1, 1), F.expr("substring(feature, 2)"), F.lit(0)
-
-    def level(mark: str, outer: DataFrame | None, length: int) -> DataFrame:
-        own = counts.filter(kind == mark).select(rest.alias("t"), "n1", "n0")
-        if outer is None:
-            own = own.withColumn("up", F.lit(share))
-        else:
-            # What the other forms of the stem show: a token's own documents are not evidence twice.
-            stem = outer.select(F.col("t").alias("p"), F.col("n1").alias("p1"), F.col("n0").alias("p0"), F.col("up").alias("p_up"))
-            own = own.withColumn("p", F.substring("t", 1, length)).join(stem, "p")
-            o1, o0 = F.greatest(F.col("p1") - F.col("n1"), none), F.greatest(F.col("p0") - F.col("n0"), none)
-            own = own.withColumn("up", (o1 + PRIOR * F.col("p_up")) / (o1 + o0 + PRIOR))
-        a, b = F.col("n1") + PRIOR * F.col("up"), F.col("n0") + PRIOR * (1 - F.col("up"))
+    rest, none = F.expr("substring(feature, 2)"), F.lit(0)
+
+    def level(up: Column, source: DataFrame) -> DataFrame:
+        a, b = F.col("n1") + PRIOR * up, F.col("n0") + PRIOR * (1 - up)
         mean, n = a / (a + b), a + b
         low = F.greatest(mean - ERRORS * F.sqrt(mean * (1 - mean) / (n + 1)), F.lit(1e-9))
         gain = F.log(low / (1 - low)) - math.log(share / (1 - share))
-        return own.select(
-            F.lit(mark).alias("kind"), "t", "n1", "n0", "up", F.when(gain >= LEAST, gain).otherwise(0.0).alias("s"), (F.col("n1") + F.col("n0")).alias("n")
-        )
-
-    four = level("4", None, 0)
-    five = level("5", four, 4)
-    whole = level("w", five, 5)
-    # Zeros matter only below a stem with a score.
-    stem5 = five.filter("s > 0").select("t")
-    zeros5 = five.filter("s = 0").join(four.filter("s > 0").select(F.col("t").alias("p")), F.substring("t", 1, 4) == F.col("p"), "left_semi")
-    zerosw = whole.filter("s = 0").join(stem5.withColumnRenamed("t", "p"), F.substring("t", 1, 5) == F.col("p"), "left_semi")
-    columns = ["kind", "t", "s", "n"]
-    listed = four.filter("s > 0").select(columns).union(five.filter("s > 0").select(columns)).union(whole.filter("s > 0").select(columns))
-    listed = listed.union(zeros5.select(columns)).union(zerosw.select(columns))
-    top = listed.orderBy(F.desc("s"), F.desc("n"), "kind", "t").limit(LEXICON).collect()
-    return {r.kind + r.t: float(r.s) for r in top}
+        return source.withColumn("up", up).withColumn("s", F.when(gain >= LEAST, gain).otherwise(0.0))
+
+    def inner(mark: str, length: int, outer: DataFrame) -> DataFrame:
+        """Each form with the prior that the other forms of its stem set: its own documents are not evidence twice."""
+        own = counts.filter(F.substring("feature", 1, 1) == mark).select("feature", "n1", "n0", F.substring(rest, 1, length).alias("p"))
+        stem = outer.select(F.expr("substring(feature, 2)").alias("p"), F.col("n1").alias("p1"), F.col("n0").alias("p0"), F.col("up").alias("p_up"), F.col("s").alias("p_s"))
+        o1, o0 = F.greatest(F.col("p1") - F.col("n1"), none), F.greatest(F.col("p0") - F.col("n0"), none)
+        return level((o1 + PRIOR * F.col("p_up")) / (o1 + o0 + PRIOR), own.join(stem, "p"))
+
+    four = level(F.lit(share), counts.filter(F.substring("feature", 1, 1) == "4"))
+    five = stage_table("five", inner("5", 4, four).select("feature", "n1", "n0", "up", "s", "p_s"))
+    whole = inner("w", 5, five)
+    # A zero matters only below a stem with a score: it clears the form.
+    matters = (F.col("s") > 0) | (F.col("p_s") > 0)
+    listed = four.filter("s > 0").select("feature", "s").union(five.filter(matters).select("feature", "s")).union(whole.filter(matters).select("feature", "s"))
+    return {r.feature: float(r.s) for r in listed.collect()}
 
 
 def _decay(docs: DataFrame, model: Model) -> float:
