@@ -20,6 +20,8 @@ vec_id stays null; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.llm.common import Batches, list_array
-from tastemill.llm.graph import bucket_components
+from tastemill.llm.graph import bucket_components, tile_pairs
 from tastemill.staging import stage_table
 
 COSINE = 0.95
 TABLES, HASHES, PROBES = 16, 3, 5
 SEED = 11
 TILE = 1024
+#: Cosines this near to the bound are computed again, exactly.
+CLOSE = 1e-9
 
 
 def rotations(size: int, count: int) -> np.ndarray:
@@ -141,9 +145,14 @@ def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
         for batch in batches:
             dim = np.diff(batch.column("x").offsets.to_numpy())
             rows = np.repeat(np.arange(len(dim)), dim)
-            product = batch.column("x").flatten().to_numpy() * batch.column("y").flatten().to_numpy()
-            keep = pa.array(np.bincount(rows, product, minlength=len(dim)) >= cosine)
-            yield batch.select(["a", "b"]).filter(keep)
+            x, y = (batch.column(c).flatten().to_numpy() for c in ("x", "y"))
+            found = np.bincount(rows, x * y, minlength=len(dim))
+            keep = found >= cosine
+            ends = np.cumsum(dim)
+            for k in np.flatnonzero(np.abs(found - cosine) < CLOSE).tolist():
+                own = slice(ends[k] - dim[k], ends[k])
+                keep[k] = exact_product(x[own], y[own]) >= cosine
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     x = classes.select(F.col("node").alias("a"), F.col("unit").alias("x"))
     y = classes.select(F.col("node").alias("b"), F.col("unit").alias("y"))
@@ -151,10 +160,19 @@ def verified(pairs: DataFrame, classes: DataFrame, cosine: float) -> DataFrame:
     return stage_table("links", both.mapInArrow(run, "a binary, b binary"))
 
 
-def products(x: pa.Array, y: pa.Array) -> np.ndarray:
-    """Cosines of the unit vectors of ``x`` and ``y``."""
+def exact_product(x: np.ndarray, y: np.ndarray) -> float:
+    """The sum of products without the error of its order, so that a pair near the bound is judged alike everywhere."""
+    return math.fsum((x * y).tolist())
+
+
+def near(x: pa.Array, y: pa.Array, cosine: float) -> np.ndarray:
+    """Which unit vectors of ``x`` and ``y`` are as near as ``cosine``."""
     mine, theirs = (side.flatten().to_numpy().reshape(len(side), -1) for side in (x, y))
-    return mine @ theirs.T
+    found = mine @ theirs.T
+    keep = found >= cosine
+    for i, j in np.argwhere(np.abs(found - cosine) < CLOSE).tolist():
+        keep[i, j] = exact_product(mine[i], theirs[j]) >= cosine
+    return keep
 
 
 def neighbour_counts(members: DataFrame, cosine: float) -> DataFrame:
@@ -163,19 +181,19 @@ def neighbour_counts(members: DataFrame, cosine: float) -> DataFrame:
     dealt = members.join(sizes, "root").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     row = F.struct("node", "copies", "unit")
     tiles = stage_table("tiles", dealt.groupBy("root", "tile").agg(F.collect_list(row).alias("rows")))
-    left = tiles.select("root", F.col("rows").alias("a"))
-    right = tiles.select("root", F.col("rows").alias("b"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for k in range(batch.num_rows):
-                a, b = batch.column("a")[k].values, batch.column("b")[k].values
-                weights = b.field("copies").to_numpy(zero_copy_only=False)
-                near = (products(a.field("unit"), b.field("unit")) >= cosine) @ weights
-                yield pa.RecordBatch.from_arrays([a.field("node"), pa.array(near, pa.int64())], ["node", "n"])
-
-    # The product of two tiles is one small task of its own.
-    pairs = left.join(right, "root")
+                x, y = batch.column("x")[k].values, batch.column("y")[k].values
+                found = near(x.field("unit"), y.field("unit"), cosine)
+                sides = [(x, found @ y.field("copies").to_numpy(zero_copy_only=False))]
+                if batch.column("s")[k].as_py() != batch.column("t")[k].as_py():
+                    sides.append((y, x.field("copies").to_numpy(zero_copy_only=False) @ found))
+                for side, count in sides:
+                    yield pa.RecordBatch.from_arrays([side.field("node"), pa.array(count, pa.int64())], ["node", "n"])
+
+    pairs = tile_pairs(tiles, sizes, "root").select("s", "t", "x", "y")
     return pairs.mapInArrow(run, "node binary, n bigint").groupBy("node").agg(F.sum("n").alias("n_near"))
 
 
@@ -191,7 +209,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         lambda pairs: verified(pairs, classes, cosine),
         lambda a, b: a == b,
         lambda nodes: classes.join(nodes.hint("merge"), "node").select("node", F.col("unit").alias("data"), F.size("unit").cast("bigint").alias("size")),
-        lambda x, y: products(x, y) >= cosine,
+        lambda x, y: near(x, y, cosine),
     )
     named = classes.join(roots, "node", "left").select("node", "vec_id", "copies", "unit", F.coalesce("root", "node").alias("root"))
     named = stage_table("named", named)

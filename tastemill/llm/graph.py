@@ -117,8 +117,6 @@ def links_in_tiles(members: DataFrame, items: DataFrame, alike: Callable[[pa.Arr
     dealt = rows.join(sizes.hint("merge"), "bucket").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     row = F.struct("node", "root", "data")
     tiled = stage_table("tiles", dealt.groupBy("bucket", "tile").agg(F.collect_list(row).alias("rows")))
-    first = tiled.select("bucket", F.col("tile").alias("s"), F.col("rows").alias("x"))
-    second = tiled.select("bucket", F.col("tile").alias("t"), F.col("rows").alias("y"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -146,5 +144,19 @@ def links_in_tiles(members: DataFrame, items: DataFrame, alike: Callable[[pa.Arr
                         found.append((nodes[0][i], nodes[1][j]))
                 yield pa.RecordBatch.from_arrays([pa.array([f[side] for f in found], pa.binary()) for side in (0, 1)], ["a", "b"])
 
-    pairs = first.join(second.hint("merge"), "bucket").filter("s <= t").select("x", "y")
+    pairs = tile_pairs(tiled, sizes, "bucket").select("x", "y")
     return stage_table("links", pairs.mapInArrow(run, "a binary, b binary"))
+
+
+def tile_pairs(tiled: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
+    """Every pair of tiles s <= t of a group with their rows as ``x`` and ``y``, dealt by (group, s, t).
+
+    The pairs come from the number of tiles alone, each tile is fetched by its own key, and each product
+    is a unit of work of its own: a group with very many tiles is spread over all tasks.
+    """
+    every = lambda low, name: F.explode(F.sequence(low, F.col("tiles") - 1)).alias(name)
+    named = sizes.select(group, "tiles", every(F.lit(0), "s")).select(group, "s", every(F.col("s"), "t"))
+    first = tiled.select(group, F.col("tile").alias("s"), F.col("rows").alias("x"))
+    second = tiled.select(group, F.col("tile").alias("t"), F.col("rows").alias("y"))
+    fetched = named.join(first.hint("merge"), [group, "s"]).join(second.hint("merge"), [group, "t"])
+    return fetched.repartition(group, "s", "t")
