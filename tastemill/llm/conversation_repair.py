@@ -8,7 +8,7 @@ whose initials (K, R, D, I, in order) come first in ASCII.
 Two sorted streams do it. The first holds the turns without their texts (faults, role initial, a
 digest) and plans the edits of one conversation after the other. The second merges these plans with
 the turns, a plan before its turns, and puts out the repaired turns as they pass. Texts are never
-gathered; a task keeps some 30 bytes a turn of one conversation, however long it is. One
+gathered; a task keeps a digest and some numbers a turn of one conversation, however long it is. One
 conversation is one sequence, so it is not cut over tasks; nothing else is tied to a key.
 
 The search is exact. Its stack is a list, so its depth has no limit. A node is (turns done, last
@@ -158,49 +158,62 @@ def _runs(ids: list) -> Iterator[tuple[object, int, int]]:
             start = k
 
 
-class _Turns:
-    """What is kept of the turns of the conversation that passes."""
+def _judged(faults: list[int], first: list[bool], initials: list[str], numbers: list[int]) -> tuple:
+    """A conversation's report from what its turns show; ``first`` says whether role and text are new."""
+    judged = bytes(f if f == BLANK or new else DUPLICATE for f, new in zip(faults, first))
+    marks = [x or "-" for x in initials]
+    illegal = sum(a + b not in LEGAL_PAIRS for a, b in zip(marks, marks[1:]))
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    return gaps, *(judged.count(kind) for kind in (BLANK, DUPLICATE, TRUNCATED)), illegal, *cheapest_edits(judged, "".join(marks))
 
-    def __init__(self):
-        self.parts: list[pa.RecordBatch] = []
 
-    def plan(self) -> tuple:
-        table = pa.Table.from_batches(self.parts)
-        table = table.filter(pc.equal(table["kind"], 1)).combine_chunks()
-        if not table.num_rows:
-            return 0, 0, 0, 0, 0, 0, ""
-        codes = table["digest"].chunk(0).dictionary_encode().indices.to_numpy()
-        first = np.zeros(len(codes), dtype=bool)
-        first[np.unique(codes, return_index=True)[1]] = True
-        fault = table["fault"].to_numpy().astype(np.uint8)
-        fault = np.where(fault == BLANK, BLANK, np.where(~first, DUPLICATE, fault)).astype(np.uint8)
-        initials = [x or "-" for x in table["initial"].to_pylist()]
-        illegal = sum(a + b not in LEGAL_PAIRS for a, b in zip(initials, initials[1:]))
-        numbers = table["turn"].drop_null().to_numpy()
-        gaps = int(numbers.max()) - int(numbers.min()) + 1 - len(np.unique(numbers)) if len(numbers) else 0
-        counts = [int((fault == kind).sum()) for kind in (BLANK, DUPLICATE, TRUNCATED)]
-        return gaps, *counts, illegal, *cheapest_edits(fault.tobytes(), "".join(initials))
+def _in_lists(rows: list[tuple]) -> tuple:
+    """The report of (kind, turn, digest, fault, initial) of few turns."""
+    own = [r for r in rows if r[0] == 1]
+    seen: set[bytes] = set()
+    new = [not (r[2] in seen or seen.add(r[2])) for r in own]
+    return _judged([r[3] for r in own], new, [r[4] for r in own], [r[1] for r in own if r[1] is not None])
+
+
+def _in_columns(parts: list[pa.RecordBatch]) -> tuple:
+    """The same of many: digests stay in Arrow until they are numbers."""
+    table = pa.Table.from_batches(parts)
+    table = table.filter(pc.equal(table["kind"], 1)).combine_chunks()
+    if not table.num_rows:
+        return _judged([], [], [], [])
+    codes = table["digest"].chunk(0).dictionary_encode().indices.to_numpy()
+    first = np.zeros(len(codes), dtype=bool)
+    first[np.unique(codes, return_index=True)[1]] = True
+    return _judged(table["fault"].to_pylist(), first.tolist(), table["initial"].to_pylist(), table["turn"].drop_null().to_pylist())
 
 
 def _plans(batches: Batches) -> Batches:
     """A row for each conversation of a stream in order."""
-    current, held = None, None
+    names = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
+    current, held, id_type = None, [], pa.null()
 
-    def row(conv_id: object, own: _Turns, type_: pa.DataType) -> pa.RecordBatch:
-        values = own.plan()
-        types = [type_, *[pa.int64()] * 6, pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((conv_id, *values), types)], ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"])
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        types = [id_type, *[pa.int64()] * 6, pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], names)
 
     for batch in batches:
-        type_ = batch.column("conv_id").type
-        for conv_id, start, stop in _runs(batch.column("conv_id").to_pylist()):
-            if held is None or conv_id != current:
-                if held is not None:
-                    yield row(current, held, type_)
-                current, held = conv_id, _Turns()
-            held.parts.append(batch.slice(start, stop - start))
-    if held is not None:
-        yield row(current, held, type_)
+        id_type, found = batch.column("conv_id").type, []
+        ids = batch.column("conv_id").to_pylist()
+        columns = [batch.column(c).to_pylist() for c in ("kind", "turn", "digest", "fault", "initial")]
+        turns_ = list(zip(*columns))
+        for conv_id, start, stop in _runs(ids):
+            if held and conv_id != current:
+                found.append((current, *_in_columns(held)))
+                held = []
+            if stop < len(ids) and not held:
+                found.append((conv_id, *_in_lists(turns_[start:stop])))
+                continue
+            # It may go on in the next batch, or has begun in the one before.
+            current = conv_id
+            held.append(batch.slice(start, stop - start))
+        yield rows(found)
+    if held:
+        yield rows([(current, *_in_columns(held))])
 
 
 def plan_repairs(conversations: DataFrame, reported: DataFrame | None = None) -> DataFrame:
