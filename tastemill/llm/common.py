@@ -64,7 +64,7 @@ def bounds(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def in_slices(batches: Batches, size: int = 16_000_000) -> Batches:
+def in_slices(batches: Batches, size: int = 8_000_000) -> Batches:
     """The same rows in batches of about ``size`` bytes of text, to bound a worker's memory."""
     for batch in batches:
         for start, stop in bounds(batch.column("text"), size):
