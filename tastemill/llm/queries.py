@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from tastemill.llm import (
     pii_crf,
     rans_blocks,
     secret_parts,
+    stages,
     toxic_segments,
 )
 from tastemill.session import shared_dir
@@ -131,7 +131,7 @@ def op13_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDERS: dict[str, Builder] = {
-    "pipeline": corpus_pipeline.run,
+    "pipeline": stages.run,
     "op1_latent_leaks": op1_latent_leaks,
     "op2_toxic_segments": op2_toxic_segments,
     "op3_bpe_tree": op3_bpe_tree,

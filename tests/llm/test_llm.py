@@ -367,17 +367,73 @@ def test_op4_base_score_against_brute_force(spark, texts):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
-def test_attention_windows_and_probabilities():
-    """Overlapping windows give what one long pass gives at the start, and each position's classes sum to one."""
+@pytest.fixture(scope="module")
+def attention():
     draw = np.random.default_rng(0)
-    model = attention_lm.train(draw.integers(0, 50, (64, attention_lm.WIDTH + 1)), np.bincount(draw.integers(0, 50, 999), minlength=50257), epochs=1)
+    size = 50257
+    known = attention_lm.Vocabulary(np.bincount(draw.integers(0, 50, 999), minlength=size), attention_lm.beginnings(PATH, size))
+    return attention_lm.train(draw.integers(0, 50, (640, attention_lm.WIDTH + 1)), known, epochs=2)
+
+
+def test_attention_windows(attention):
+    """Overlapping windows give what one long pass gives at the start."""
+    draw = np.random.default_rng(1)
     lengths = np.array([0, 5, 31, 32, 33, 200])
     ids = draw.integers(0, 50, lengths.sum())
-    all_ = model.score(ids, lengths)
-    assert len(all_) == lengths.sum() + len(lengths) and np.isfinite(all_).all() and (all_ < 0).all()
-    assert np.allclose(model.score(ids[:5], np.array([5])), all_[1:7], atol=1e-4)
-    shares = np.bincount(model.group, np.exp(model.inside))
-    assert np.allclose(shares, 1)
+    for all_ in attention.score(ids, lengths):
+        assert len(all_) == lengths.sum() + len(lengths) and np.isfinite(all_).all() and (all_ < 0).all()
+    for alone, all_ in zip(attention.score(ids[:5], np.array([5])), attention.score(ids, lengths)):
+        assert np.allclose(alone, all_[1:7], atol=1e-4)
+
+
+def test_shares_of_words_sum_to_one(attention):
+    """After any context the ids sum to one, and so do words: beginnings, and of other ids those that go on or end."""
+    known = attention.known
+    assert np.allclose(np.bincount(known.group, np.exp(known.inside)), 1)
+    draw = np.random.default_rng(2)
+    x = draw.integers(0, 60, (1, attention_lm.WIDTH))
+    every = np.arange(50257)
+    for place in (0, 7, 31):
+        targets = np.zeros((len(every), attention_lm.WIDTH), dtype=np.int64)
+        targets[:, place] = every
+        p = np.concatenate([np.exp(attention.log_probability(np.repeat(x, 1000, axis=0)[: len(t)], t, 0)[0][:, place]) for t in np.array_split(targets, 60)])
+        begins = np.exp(attention.log_probability(x, targets[:1], 0)[1][0, place])
+        assert p.sum() == pytest.approx(1, abs=1e-3)
+        assert p[known.begins].sum() == pytest.approx(begins, abs=1e-3)
+    # A word's share by its definition: first id among beginnings, the others, and a beginning after the last.
+    text = pa.array(["some odd words: antidisestablishment", "", "x"])
+    which, own, per_text = attention_lm.words_of(text)
+    ids, per_word = attention_lm.ids_of_words(PATH, which, own)
+    of_word, of_end = attention.word_scores(ids, per_word, per_text)
+    before = np.concatenate([[0], np.cumsum(per_word)])
+    ends = np.cumsum(per_text)
+    each, begins = attention.score(ids, before[ends] - before[ends - per_text])
+    at, place, k = 0, 0, 0
+    for n in per_text.tolist():
+        for _ in range(n):
+            m = int(per_word[k])
+            assert of_word[k] == pytest.approx(each[place : place + m].sum() - begins[place] + begins[place + m], abs=1e-4)
+            place, k = place + m, k + 1
+        assert of_end[at] == pytest.approx(each[place] - begins[place], abs=1e-4)
+        place, at = place + 1, at + 1
+    assert of_end[1] == pytest.approx(of_end[1]) and (of_word < 0).all() and (of_end < 0).all()
+
+
+def test_words_are_encoded_alike_from_batch_to_batch():
+    kept = attention_lm.WordEncoder(PATH, most=6)
+    for words_ in (["a", "bb", "ccc"], ["bb", "dddd", "a"], ["é", "a", "bb", "x" * 300], ["zz"], ["a", "zz"]):
+        which, own = np.array([0, *range(len(words_))]), pa.array(words_, pa.large_string())
+        for got, want in zip(kept.ids_of(which, own), attention_lm.ids_of_words(PATH, which, own)):
+            assert got.tolist() == want.tolist()
+
+
+def test_ids_are_counted_over_all_words(spark):
+    docs = spark.createDataFrame([(k, f"the other unusualword{k % 3} word") for k in range(30)] + [(99, "")], "doc_id BIGINT, text STRING")
+    got = attention_lm.count_ids(attention_lm.count_words(docs), PATH, 50257)
+    which, own, per_text = attention_lm.words_of(pa.array([r.text for r in docs.collect()]))
+    want = np.bincount(attention_lm.ids_of_words(PATH, which, own)[0], minlength=50257)
+    want[attention_lm.END] += 31
+    assert (got == want).all()
 
 
 @pytest.mark.parametrize("empty", [False, True])
@@ -419,5 +475,8 @@ def test_pipeline_keeps_columns_and_decides(spark):
 
 
 def test_secrets_run_without_python(spark):
-    plan = queries.op9_secret_parts(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    """Neither the search for the parts, which is staged, nor what follows has a Python step."""
+    texts = queries.documents(spark, SF).select(F.struct("doc_id").alias("key"), "text")
+    for frame in (queries.op9_secret_parts(spark, SF), secret_parts.candidates(texts), secret_parts.linked(secret_parts.candidates(texts))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow|MapPartitions", plan)
