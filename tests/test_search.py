@@ -79,3 +79,51 @@ def test_null_features_and_odd_tables(spark):
     users = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id INT, features ARRAY<FLOAT>")
     assert rows(factors.factor_topk(users, users, 5), "user_id", "book_id", "rank") == [(1, 1, 1)]
     assert factors.factor_topk(users, users.limit(0), 5).count() == 0
+
+
+def test_equal_scores_do_not_pile_up():
+    """Of equal scores only the items with the lowest ids are held, however many there are."""
+    state = factors.Best(None, np.zeros((20, 4)), 3, 9)
+    rng = np.random.default_rng(4)
+    for ids in np.split(rng.permutation(5_000), 5):
+        state.look(ids, rng.standard_normal((1_000, 4)), 9.0)
+        assert state.n_new + len(state.row) <= 5 * 20 * 3
+    state.settle()
+    assert state.item.tolist() == [0, 1, 2] * 20
+
+
+def test_users_who_look_far_are_spread(spark, monkeypatch):
+    """A few users need all items and the others hardly any: their block's items are dealt to several tasks."""
+    monkeypatch.setattr(factors, "BLOCK_BYTES", 8 * 4 * 10)
+    monkeypatch.setattr(factors, "SEED_ITEMS", 20)
+    monkeypatch.setattr(factors, "LEAST_WORK", 0)
+    rng = np.random.default_rng(6)
+    items = np.abs(falling(rng, 600, 4))
+    items = items[np.argsort(-np.linalg.norm(items, axis=1))]
+    users = np.abs(rng.standard_normal((80, 4)))
+    users[:20] *= -1  # their best items have the smallest norms
+    u_frame, i_frame = frame(spark, users), frame(spark, items)
+    _, _, needed, strips, _ = factors.block_plan(u_frame, i_frame, 5, min_tasks=4)
+    per_unit = [r["count"] for r in needed.groupBy("unit").count().collect()]
+    assert strips > 4 and max(per_unit) < 0.2 * sum(per_unit)
+    got = rows(factors.factor_topk(u_frame, i_frame, 5, min_tasks=4), "user_id", "book_id", "rank")
+    assert got == [w[:2] + w[3:] for w in brute(users, items, 5)]
+
+
+def test_a_walk_sorts_little_at_once():
+    """A unit's users are kept in groups; of each only some rows are new."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+
+    def batch(kind, place, ids, vectors, weight):
+        n = len(ids)
+        columns = [pa.array(np.zeros(n, dtype=np.int32)), pa.array(np.full(n, kind, dtype=np.int32)), pa.array(np.full(n, place, dtype=np.int32)), pa.array(ids), pa.array(vectors.tolist()), pa.array(weight)]
+        return pa.RecordBatch.from_arrays(columns, ["unit", "kind", "place", "id", "features", "weight"])
+
+    users, items = rng.standard_normal((2_000, 3)), rng.standard_normal((900, 3))
+    stream = [batch(0, -1, np.arange(2_000), users, np.full(2_000, -np.inf)), batch(1, 0, np.arange(900), items, np.linalg.norm(items, axis=1))]
+    schema = pa.schema([("user_id", pa.int32()), ("book_id", pa.int32()), ("rating", pa.float64()), ("rank", pa.int32())])
+    parts = list(factors._walk(iter(stream), 500, 9, schema))
+    assert max(p.num_rows for p in parts) <= factors.ROWS_PER_GROUP
+    assert sum(p.num_rows for p in parts) == 2_000 * 500
