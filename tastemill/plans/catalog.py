@@ -827,7 +827,8 @@ FROM final WHERE split = 'val'"""
 
 
 def _recs_audit(ranked: DataFrame, train: DataFrame, k: int) -> DataFrame:
-    """Sizes and broken rules of a set of ranked recommendations."""
+    """Sizes and broken rules of a set of ranked recommendations, which are searched for once."""
+    ranked = _stored(ranked, "ranked")
     per_user = ranked.groupBy(USER).agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct(ITEM).alias("items"),
