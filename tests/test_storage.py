@@ -144,3 +144,15 @@ def test_every_task_runs(spark, csv_input, tmp_path, monkeypatch, task):
     if task in ("tune", "hybrid-tune", "test"):
         assert storage.read_results(spark, f"{tmp_path}/results").count() == want
 
+
+
+def test_staged_rows_of_few_bytes_are_spread(spark):
+    """However little a row takes, no task reads tens of millions of a staged table."""
+    from pyspark.sql import functions as F
+
+    from tastemill.staging import ROWS_PER_FILE, stage_table
+
+    staged = stage_table("narrow", spark.range(0, 8 * ROWS_PER_FILE, 1, 1).selectExpr("CAST(id % 3 AS INT) AS a"))
+    parts = staged.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 8 * ROWS_PER_FILE
+    assert max(r["count"] for r in parts) <= 2 * ROWS_PER_FILE
