@@ -49,3 +49,13 @@ def test_a_wrong_vector_or_setting_shows(spark, fitted):
     assert als_check.fit_check(gone, ratings, config).first().above == 1
     other = ALSConfig(rank=5, reg=0.5, implicit=config.implicit, alpha=config.alpha)
     assert als_check.fit_check(model, ratings, other).first().above >= 6
+
+
+def test_ratings_carry_vectors_in_single_precision(spark):
+    """What goes with every rating through the joins is half as wide as what is computed with."""
+    from tastemill.operators import als_check
+
+    factors = spark.createDataFrame([(1, [1.0, 2.0])], "id INT, features ARRAY<FLOAT>")
+    vectors = als_check._vectors(factors, "book_id", "v")
+    assert vectors.dtypes == [("book_id", "int"), ("v", "array<float>")]
+    assert als_check._double(vectors, "v").dtypes[1] == ("v", "array<double>")
