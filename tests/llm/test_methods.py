@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -401,3 +402,32 @@ def test_paraphrases_are_found(spark):
 def test_shared_paths_are_not_local_folders(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert minhash_oph.Settings().num == 80
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_scoring_states_are_those_of_training(scale):
+    """With and without the care that large products need."""
+    draw = np.random.default_rng(9)
+    path = queries.public_tokenizers.path(queries.TOKENIZER)
+    size = max(len(attention_lm.encoder(path).n_bytes), attention_lm.END + 1)
+    known = attention_lm.Vocabulary(np.bincount(draw.integers(0, 5000, 20_000), minlength=size), attention_lm.beginnings(path, size))
+    weights = attention_lm.initial(known)
+    weights |= {n: weights[n] * np.float32(scale) for n in ("embed", "q", "k")}
+    model = attention_lm.Attention(known, **weights)
+    x = draw.integers(0, 3000, (300, attention_lm.WIDTH))
+    targets = draw.integers(0, 5000, (300, attention_lm.WIDTH))
+    for first in (0, attention_lm.WIDTH // 2):
+        want = model.hidden(x, first)[-1].reshape(-1, attention_lm.SIZE)
+        got = model.states(x, first)
+        assert (got[:, -1] == 1).all() and np.allclose(got[:, :-1], want, rtol=2e-4, atol=2e-4 * scale)
+        mass = np.exp(np.minimum(want.astype(float) @ model.out + model.bias, attention_lm.MOST))
+        share = mass[np.arange(len(mass)), known.group[targets[:, first:].reshape(-1)]] / mass.sum(axis=1)
+        found, _ = model.log_probability(x, targets[:, first:], first)
+        assert np.allclose(found.reshape(-1), np.log(share) + known.inside[targets[:, first:].reshape(-1)], rtol=2e-3, atol=2e-2 * scale)
+
+
+def test_word_hashes_are_those_of_the_library():
+    words = pa.array(["a", "", "zażółć", "x" * 500, "a"], pa.large_string())
+    want = np.array([xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()], dtype=np.uint64).astype(np.int64)
+    assert attention_lm.hashes_of(words).tolist() == want.tolist()
+    assert attention_lm.hashes_of(words.slice(0, 0)).tolist() == []
