@@ -39,6 +39,8 @@ from tastemill.llm.common import Batches, fresh_name, id_and_text, in_slices, li
 from tastemill.staging import stage_table
 
 MIN_WORDS = 20
+#: Bytes of text that are taken apart into lines at once.
+SLICE = 2_000_000
 
 
 def runs(lines: np.ndarray, words: np.ndarray, min_words: int, backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +145,7 @@ def profile(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``key, lines, words, runs`` of every document: line hashes, words per line, hashes of its runs."""
 
     def run(batches: Batches) -> Batches:
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, SLICE):
             lines, words, found, n_lines, n_runs = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 cut = [x.rstrip() for x in text.split("\n")]

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tastemill.llm import attention_lm, embedding_polytope, latent_leaks, line_align, minhash_oph, phrase_stripes, pii_crf, queries, secret_parts, toxic_segments
+from tastemill.llm import attention_lm, common, embedding_polytope, latent_leaks, line_align, minhash_oph, phrase_stripes, pii_crf, queries, secret_parts, toxic_segments
 from tastemill.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
@@ -431,3 +431,14 @@ def test_word_hashes_are_those_of_the_library():
     want = np.array([xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()], dtype=np.uint64).astype(np.int64)
     assert attention_lm.hashes_of(words).tolist() == want.tolist()
     assert attention_lm.hashes_of(words.slice(0, 0)).tolist() == []
+
+
+def test_slices_are_given_back_before_the_next_batch(monkeypatch):
+    """A worker that Spark uses again does not keep the memory of the batches before."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(len(seen)))
+    seen = []
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 900_000] * 5})
+    for part in common.in_slices(iter([batch, batch]), line_align.SLICE):
+        seen.append(part.num_rows)
+    assert seen == [2, 2, 1] * 2 and given == [3, 6]
