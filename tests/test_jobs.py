@@ -10,15 +10,16 @@ import pytest
 
 from tastemill import staging
 from tastemill.operators.als import ALSConfig
-from tastemill.plans import experiments, prep
+from tastemill.plans import catalog, experiments, prep
 from tastemill.plans.experiments import Run
 from tastemill.plans.together import run_together
 from tastemill.operators.splitting import pick
 from tastemill.session import shared_root
 from tastemill.sources import lease as leases
-from tastemill.sources import storage
+from tastemill.sources import star, storage
 from tastemill.sources.storage import ArtifactStore
 
+SF = "/root/testdata/sf0.001"
 QUICK = ALSConfig(rank=2, reg=0.1, max_iter=2, blocks=2)
 
 
@@ -187,3 +188,20 @@ def test_an_evaluation_leaves_nothing_behind(spark):
     experiments.train_eval(pick(tagged, "train"), pick(tagged, "val"), QUICK, Run(k=5))
     assert not {f for f in set(os.listdir(shared_root(spark))) - before if f.startswith("stage-")}
     tagged.unpersist()
+
+
+def test_baskets_are_dealt_by_key_before_they_are_grouped(spark, monkeypatch):
+    """No map task groups its split: keys hardly repeat, so it would hold nearly all of its rows. Tasks grow with the rows."""
+    monkeypatch.setattr(star, "ROWS_PER_TASK", 100)
+    plan = star.baskets(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("HashAggregate") < plan.index("Exchange")
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert star.baskets(spark, SF).rdd.getNumPartitions() == -(-rows // 100)
+
+
+def test_the_same_experiment_twice_is_fitted_once(spark, monkeypatch):
+    fits = []
+    fit = experiments.fit_als
+    monkeypatch.setattr(experiments, "fit_als", lambda *args: fits.append(args) or fit(*args))
+    assert catalog.builders()["experiment_results"](spark, SF).count() == 1
+    assert len(fits) == 1
