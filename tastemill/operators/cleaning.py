@@ -55,5 +55,5 @@ def remove_low_users(
     if check_threshold(threshold) == 0:
         return df
     counts = df.groupBy(USER).agg(F.count(F.lit(1)).alias("n_rows"))
-    low = key_verdicts(counts, USER, F.col("n_rows") <= threshold, min_rows)
+    low = key_verdicts(stage("low-profile", counts), USER, F.col("n_rows") <= threshold, min_rows)
     return apply_verdicts(df.filter(F.col(USER).isNotNull()), stage("low-users", low), USER, "left_anti")

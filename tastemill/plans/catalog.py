@@ -798,8 +798,8 @@ QUICK = ALSConfig(rank=10, reg=0.01)
 
 
 def _ratings(spark, sf):
-    """The split as a stored table, so that a fit does not recompute the derived view."""
-    facts = _facts(spark, sf)
+    """The split as a stored table, so that a fit does not recompute the derived view, which is read once for it."""
+    facts = star.interactions(spark, sf)
     return facts, _stored(prep.prep_splits(facts, FLAGGED), "splits")
 
 

@@ -18,7 +18,7 @@ from tastemill.operators.skew import apply_verdicts, key_verdicts
 from tastemill.operators.splitting import apply_user_verdicts, drop_unobserved_items, user_verdicts
 from tastemill.schema import ITEM, SPLIT, TRAIN, TRIPLE, USER
 from tastemill.sources.storage import ArtifactStore
-from tastemill.staging import Stage, stage_table
+from tastemill.staging import Stage, scratch, stage_table
 
 #: The published sample sizes (fixed values).
 SAVED_FRACTIONS = (0.01, 0.05, 0.25, 1.0)
@@ -58,12 +58,15 @@ def prep_splits(interactions: DataFrame, config: PrepConfig, stage: Stage = stag
     """Clean, sample and split; every row that is left carries its ``split``.
 
     The low-user filter and the put-back rule need the same per-user counts, so
-    one aggregation and one join serve both. In all, the rows are read three
-    times: for the user list, for the item list, and for the result.
+    one aggregation and one join serve both. The input is read once, for the tagged
+    rows; these are read three times: for the user list, for the item list, and for
+    the result. The counts per user and per item are staged, as hot and exceptional
+    keys and the total are all taken from them.
     """
     tagged = tag_splits(sampled_rows(interactions, config), config.seed, config.weights, config.share)
     if config.rm_unobserved or config.low_threshold:
-        listed = user_verdicts(tagged, config.low_threshold, config.rm_unobserved)
+        tagged = stage("tagged", tagged)
+        listed = user_verdicts(tagged, config.low_threshold, config.rm_unobserved, stage=stage)
         tagged = apply_user_verdicts(tagged, stage("users", listed))
     return drop_unobserved_items(tagged, stage) if config.rm_unobserved else tagged
 
@@ -82,9 +85,11 @@ def load_splits(interactions: DataFrame, config: PrepConfig, store: ArtifactStor
         return of_sample(load_ladder(interactions, config, store, steps), steps.index(config.fraction))
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        return store.frame(f"{name}-verdicts", lambda: df, **asdict(config))
+        # Lists of keys are kept with the splits; rows and counts on the way to them are not.
+        return store.frame(f"{name}-verdicts", lambda: df, **asdict(config)) if name in ("users", "items") else stage_table(name, df)
 
-    return store.splits(lambda: prep_splits(interactions, config, stage), _schema(interactions, config), **asdict(config))
+    with scratch(interactions.sparkSession):
+        return store.splits(lambda: prep_splits(interactions, config, stage), _schema(interactions, config), **asdict(config))
 
 
 def _steps(fractions: Sequence[float]) -> tuple[float, ...]:
@@ -111,7 +116,7 @@ def ladder(interactions: DataFrame, config: PrepConfig, steps: Sequence[float],
         first = F.when(hash_below(validate_fraction(steps[i]), config.seed, DOWNSAMPLE_TAG, USER), i).otherwise(first)
     tagged = stage("tagged", tag_splits(rows, config.seed, config.weights, config.share).withColumn(LEVEL, first))
     if config.rm_unobserved or config.low_threshold:
-        listed = user_verdicts(tagged, config.low_threshold, config.rm_unobserved)
+        listed = user_verdicts(tagged, config.low_threshold, config.rm_unobserved, stage=stage)
         tagged = apply_user_verdicts(tagged, stage("users", listed))
     if not config.rm_unobserved:
         return tagged
@@ -119,7 +124,7 @@ def ladder(interactions: DataFrame, config: PrepConfig, steps: Sequence[float],
     items = tagged.groupBy(ITEM).agg(
         F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.min(F.when(train, F.col(LEVEL))), F.lit(len(steps))).alias("seen_from")
     )
-    late = stage("items", key_verdicts(items, ITEM, F.col("seen_from") > 0, keep=("seen_from",)))
+    late = stage("items", key_verdicts(stage("item-profile", items), ITEM, F.col("seen_from") > 0, keep=("seen_from",)))
     joined = apply_verdicts(tagged, late, ITEM, "left")
     level = F.when(train, F.col(LEVEL)).otherwise(F.greatest(F.col(LEVEL), F.coalesce("seen_from", F.lit(0))))
     return joined.withColumn(LEVEL, level).drop("seen_from").filter(F.col(LEVEL) < len(steps))

@@ -167,3 +167,26 @@ def test_published_split_sizes(spark):
         "val": (5292, 318, 1849, 15834),
         "test": (4976, 294, 1832, 14671),
     }
+
+
+def test_the_input_is_read_once_for_the_splits(spark):
+    """Tagged rows and counts per key are staged; later passes do not draw or count again."""
+    from tastemill.plans.prep import PrepConfig, prep_splits
+
+    names = []
+
+    def stage(name, df):
+        names.append(name)
+        return stage_table(name, df)
+
+    facts = data.many(spark).withColumn("is_read", F.lit(0)).withColumn("is_reviewed", F.lit(0))
+    got = prep_splits(facts, PrepConfig(fraction=1.0, low_threshold=2), stage)
+    assert names == ["tagged", "user-profile", "users", "book_id-profile", "items"]
+    assert rows(got) == rows(prep_splits(facts, PrepConfig(fraction=1.0, low_threshold=2), stage_nothing))
+
+
+def test_a_short_list_of_keys_does_not_shuffle_the_rows(spark):
+    """The planner knows that the list is small; it is not the product of two lists."""
+    tagged = sampling.tag_splits(data.many(spark))
+    plan = splitting.drop_unobserved_items(tagged)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
