@@ -6,8 +6,8 @@ b = r and n is their number; for implicit ones c = alpha |r|, b = 1 + c where r
 number of those, and ``sum v v'`` over *all* items comes on top. The residual of these equations says
 whether seed, regularisation, alpha, block sizes and storage left the solution as it should be.
 
-No user's matrix is formed: ``sum c v v' x`` is ``sum c (v . x) v``, so a rating contributes one vector,
-added up map-side. Only the sum over all items is a matrix, of rank by rank numbers.
+No user's matrix is formed: ``sum c v v' x`` is ``sum c (v . x) v``, so a rating contributes one vector. The join
+puts a user's ratings side by side, and a batch of them is added up to one row for each user in it. Only the sum over all items is a matrix, of rank by rank numbers.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -69,6 +69,39 @@ def _largest(vector: Column) -> Column:
     return F.array_max(F.transform(vector, F.abs))
 
 
+def _user_sums(config: ALSConfig):
+    """A function of batches of ``user_id, r, v, x``: the sums over each run of a user's ratings."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            user, r, x = batch.column(USER).to_numpy(), batch.column("r").to_numpy(), batch.column("x")
+            v = _matrix(batch.column("v")).astype(np.float64)
+            known = x.is_valid().to_numpy(zero_copy_only=False)
+            dot = np.zeros(len(v))
+            if known.any():
+                dot[known] = np.einsum("ij,ij->i", v[known], _matrix(x.drop_null()).astype(np.float64))
+            weight = np.abs(r) * config.alpha if config.implicit else np.ones(len(r))
+            positive = (r > 0).astype(np.float64) if config.implicit else np.ones(len(r))
+            wanted = positive * (1 + weight) if config.implicit else r
+            term = weight * dot - wanted
+            starts = np.concatenate([[0], np.flatnonzero(user[1:] != user[:-1]) + 1])
+            left = np.add.reduceat(v * term[:, None], starts)
+            scale = (np.abs(term) + np.abs(wanted)) * np.abs(v).max(axis=1)
+            offsets = np.arange(len(starts) + 1, dtype=np.int32) * v.shape[1]
+            columns = [
+                pa.array(user[starts], pa.int32()),
+                pa.array(np.diff(np.append(starts, len(user)))),
+                pa.array(np.add.reduceat(positive, starts)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(left.reshape(-1))),
+                pa.array(np.add.reduceat(scale, starts)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [USER, "n", "weighted", "left", "scale"])
+
+    return run
+
+
 def user_residuals(model: ALSModel, ratings: DataFrame, config: ALSConfig) -> DataFrame:
     """``user_id, n, residual, scale`` of every user with ratings: largest component of the residual, and of its terms.
 
@@ -76,18 +109,13 @@ def user_residuals(model: ALSModel, ratings: DataFrame, config: ALSConfig) -> Da
     """
     rows = ratings.select(int_id(USER), int_id(ITEM), F.col(config.rating_col).cast("float").cast("double").alias("r"))
     users, items = _vectors(model.userFactors, USER, "x"), _vectors(model.itemFactors, ITEM, "v")
-    joined = _double(rows.join(items, ITEM).join(users, USER, "left"), "v", "x")
-    dot = F.aggregate(F.zip_with("v", "x", lambda a, b: a * b), F.lit(0.0), lambda total, a: total + a)
-    weight = F.abs("r") * config.alpha if config.implicit else F.lit(1.0)
-    positive = (F.col("r") > 0).cast("double") if config.implicit else F.lit(1.0)
-    wanted = positive * (1 + weight) if config.implicit else F.col("r")
-    term = weight * F.coalesce(dot, F.lit(0.0)) - wanted
-    summed = joined.select(USER, "v", term.alias("e"), positive.alias("p"), wanted.alias("b")).groupBy(USER)
-    sums = summed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("p").alias("weighted"),
-        vector_to_array(Summarizer.sum(array_to_vector(_scaled(F.col("v"), F.col("e"))))).alias("left"),
-        F.sum((F.abs("e") + F.abs("b")) * _largest(F.col("v"))).alias("scale"),
+    joined = rows.join(items, ITEM).join(users, USER, "left").select(USER, "r", "v", "x")
+    parts = joined.mapInArrow(_user_sums(config), f"{USER} int, n bigint, weighted double, left array<double>, scale double")
+    sums = parts.groupBy(USER).agg(
+        F.sum("n").alias("n"),
+        F.sum("weighted").alias("weighted"),
+        F.array(*[F.sum(F.col("left")[i]) for i in range(config.rank)]).alias("left"),
+        F.sum("scale").alias("scale"),
     )
     solved = _double(sums.join(users, USER, "left"), "x")
     if config.implicit:

@@ -59,3 +59,24 @@ def test_ratings_carry_vectors_in_single_precision(spark):
     vectors = als_check._vectors(factors, "book_id", "v")
     assert vectors.dtypes == [("book_id", "int"), ("v", "array<float>")]
     assert als_check._double(vectors, "v").dtypes[1] == ("v", "array<double>")
+
+
+def test_ratings_meet_the_aggregation_in_sums(spark):
+    """A batch of the join gives one row for each run of a user, not one for each rating."""
+    import pyarrow as pa
+
+    from tastemill.operators import als_check
+
+    user, r = pa.array([1, 1, 1, 2, 2, 1], pa.int32()), pa.array([1.0, 0.0, 2.0, 3.0, 1.0, 1.0])
+    v = pa.array([[1.0, k] for k in range(6)], pa.list_(pa.float32()))
+    x = pa.array([[1.0, 2.0]] * 3 + [None] * 2 + [[1.0, 2.0]], pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays([user, r, v, x], ["user_id", "r", "v", "x"])
+    (out,) = als_check._user_sums(ALSConfig(rank=2))(iter([batch]))
+    assert out.to_pydict() == {
+        "user_id": [1, 2, 1],
+        "n": [3, 2, 1],
+        "weighted": [3.0, 2.0, 1.0],
+        # Errors: 0, 3, 3; without a vector -3, -1; 10.
+        "left": [[6.0, 9.0], [-4.0, -13.0], [10.0, 50.0]],
+        "scale": [1.0 + 3.0 + 10.0, 18.0 + 8.0, 55.0],
+    }
