@@ -442,3 +442,25 @@ def test_slices_are_given_back_before_the_next_batch(monkeypatch):
     for part in common.in_slices(iter([batch, batch]), line_align.SLICE):
         seen.append(part.num_rows)
     assert seen == [2, 2, 1] * 2 and given == [3, 6]
+
+
+def test_the_attention_model_learns_from_all_training_texts(spark, monkeypatch):
+    """Every window of every training text is in exactly one round, copies of a text included; few are in all."""
+    seen = {}
+
+    def train(windows, known, n_windows):
+        seen["rounds"] = [attention_lm.of_round(windows, 10**6, k).count() for k in range(attention_lm.ROUNDS)]
+        seen["few"], seen["hashes"] = attention_lm.of_round(windows, 1, 3).count(), windows.select("h").distinct().count()
+        return attention_lm.Attention(known, **attention_lm.initial(known))
+
+    monkeypatch.setattr(attention_lm, "train_in_tasks", train)
+    texts = [(k, " ".join(f"w{(k * j) % 97}" for j in range(40)) if k % 2 else "one and the same") for k in range(300)]
+    frame = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").withColumn("flag", F.col("doc_id") % 3 == 0)
+    path = queries.public_tokenizers.path(queries.TOKENIZER)
+    assert attention_lm.score_texts(frame, "flag", path).count() == 300
+    learnt = pa.array([t for k, t in texts if k % 3])
+    which, words, per_text = attention_lm.words_of(learnt)
+    _, per_word = attention_lm.ids_of_words(path, which, words)
+    ends = np.concatenate([[0], np.cumsum(per_word)])[np.cumsum(per_text)]
+    n = sum(-(-(m + 1) // attention_lm.WIDTH) for m in np.diff(ends, prepend=0).tolist())
+    assert sum(seen["rounds"]) == seen["few"] == seen["hashes"] == n and min(seen["rounds"]) > 0
