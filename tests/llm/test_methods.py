@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import time
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tastemill.llm import attention_lm, common, embedding_polytope, latent_leaks, line_align, minhash_oph, phrase_stripes, pii_crf, queries, secret_parts, toxic_segments
-from tastemill.session import shared_dir
+from tastemill.session import shared_dir, shared_root
+from tastemill.staging import scratch
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -464,3 +466,69 @@ def test_the_attention_model_learns_from_all_training_texts(spark, monkeypatch):
     ends = np.concatenate([[0], np.cumsum(per_word)])[np.cumsum(per_text)]
     n = sum(-(-(m + 1) // attention_lm.WIDTH) for m in np.diff(ends, prepend=0).tolist())
     assert sum(seen["rounds"]) == seen["few"] == seen["hashes"] == n and min(seen["rounds"]) > 0
+
+
+def test_windows_are_gone_when_texts_are_scored(spark, monkeypatch):
+    """What training staged is removed before scoring stages its own, and windows are not shuffled."""
+    there, frames = {}, {}
+    stage = attention_lm.stage_table
+
+    def staged(name, df):
+        there[name], frames[name] = {n.rsplit("-", 1)[0] for n in os.listdir(shared_root(spark))}, df
+        return stage(name, df)
+
+    monkeypatch.setattr(attention_lm, "stage_table", staged)
+    with scratch(spark):
+        texts = [(k, " ".join(f"w{(k * j) % 97}" for j in range(40))) for k in range(50)]
+        frame = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").withColumn("flag", F.col("doc_id") % 3 == 0)
+        scored = attention_lm.score_texts(frame, "flag", queries.public_tokenizers.path(queries.TOKENIZER))
+        assert scored.count() == 50
+    assert there.keys() == {"words", "windows", "texts", "rare"}
+    assert "stage-words" in there["texts"] and not {"stage-windows"} & (there["texts"] | there["rare"])
+    assert "Exchange" not in frames["windows"]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n_ids", [50_257, 100_000])
+def test_windows_are_packed_and_unpacked(n_ids):
+    ids = np.random.default_rng(4).integers(0, n_ids, (7, attention_lm.WIDTH + 1))
+    ids[3, 5] = n_ids - 1
+    rows = attention_lm.packed(ids, n_ids)
+    assert len(rows[0].as_py()) == (attention_lm.WIDTH + 1) * (2 if n_ids <= 1 << 16 else 4)
+    assert (attention_lm.unpacked(rows) == ids).all() and (attention_lm.unpacked(rows.slice(2, 3)) == ids[2:5]).all()
+
+
+def test_mixtures_are_those_in_double_precision():
+    draw = np.random.default_rng(5)
+    log_p, log_q = draw.uniform(-25, 0, 500), draw.uniform(-60, 0, 500)
+    log_q[:3] = -200, -900, 0
+    for w, more in zip(attention_lm.WEIGHTS, attention_lm.mixtures(log_p, log_q)):
+        want = np.log(np.maximum(w * np.exp(log_p) + (1 - w) * np.exp(log_q), attention_lm.LEAST))
+        assert np.allclose(log_p + more, want, rtol=1e-5, atol=1e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_gradients_are_slopes(scale):
+    """With and without the care that large products need."""
+    draw = np.random.default_rng(6)
+    path = queries.public_tokenizers.path(queries.TOKENIZER)
+    size = max(len(attention_lm.encoder(path).n_bytes), attention_lm.END + 1)
+    known = attention_lm.Vocabulary(np.bincount(draw.integers(0, 5000, 20_000), minlength=size), attention_lm.beginnings(path, size))
+    weights = attention_lm.initial(known)
+    weights |= {n: weights[n] * np.float32(scale) for n in ("embed", "q", "k")}
+    trainer = attention_lm.Trainer(known, weights, 0.01)
+    some = draw.integers(0, 3000, (8, attention_lm.WIDTH + 1))
+    x, y = known.slot[some[:, :-1]], known.group[some[:, 1:]].reshape(-1)
+    trainer._gradient(x, y)
+
+    def surprise(changed):
+        state = attention_lm.Attention(known, **changed).hidden(x)[-1].reshape(-1, attention_lm.SIZE)
+        logits = state @ changed["out"] + changed["bias"]
+        top = logits.max(axis=1)
+        return float(np.mean(top + np.log(np.exp(logits - top[:, None]).sum(axis=1)) - logits[np.arange(len(y)), y]))
+
+    double = {n: v.astype(float) for n, v in weights.items()}
+    for name, grad in trainer.g.items():
+        way = grad.astype(float) / np.linalg.norm(grad)
+        step = 1e-5
+        ends = [surprise(double | {name: double[name] + sign * step * way}) for sign in (1, -1)]
+        assert (ends[0] - ends[1]) / (2 * step) == pytest.approx(np.linalg.norm(grad), rel=2e-2)
