@@ -53,6 +53,27 @@ def test_small_norms_are_not_looked_at(spark, monkeypatch):
     assert got == [w[:2] + w[3:] for w in brute(users, items, 10)]
 
 
+@pytest.mark.parametrize("kind,passes", [("FLOAT", 2), ("DOUBLE", 4)])
+def test_passes_have_the_same_lists(spark, monkeypatch, kind, passes):
+    """Items are not sent to all user blocks at once if that is too much; every user has one list in one pass."""
+    monkeypatch.setattr(factors, "BLOCK_BYTES", 800)
+    monkeypatch.setattr(factors, "SEED_ITEMS", 20)
+    monkeypatch.setattr(factors, "LEAST_WORK", 0)
+    rng = np.random.default_rng(passes)
+    users, items = rng.standard_normal((300, 5)), rng.standard_normal((200, 5))
+    whole = rows(factors.factor_topk(frame(spark, users), frame(spark, items), 7, min_tasks=4), "user_id", "book_id", "rank")
+    u, i = (frame(spark, v).selectExpr("id", f"CAST(features AS ARRAY<{kind}>) AS features") for v in (users, items))
+    _, _, reached, _, _ = factors._blocks(u, i, 7, 9, 4)
+    row = factors.ROW_BYTES + 5 * (4 if kind == "FLOAT" else 8)
+    sent = reached.agg({"size": "sum"}).first()[0] * row
+    monkeypatch.setattr(factors.staging, "PASS_BYTES", sent / (passes - 0.5))
+    dealt, n = factors._passes(reached, row)
+    share = [r[0] for r in dealt.groupBy("pass").agg({"size": "sum"}).select("sum(size)").collect()]
+    assert n == passes and len(share) == passes and max(share) * row <= 2 * sent / passes
+    got = rows(factors.factor_topk(u, i, 7, min_tasks=4), "user_id", "book_id", "rank")
+    assert got == whole == [w[:2] + w[3:] for w in brute(users, items, 7)]
+
+
 def test_a_walk_closes_what_the_seed_left_open():
     rng = np.random.default_rng(1)
     users, items = rng.standard_normal((50, 6)), falling(rng, 1000, 6)
