@@ -6,8 +6,9 @@ from conftest import SF
 import __spark_entry__ as spark_entry
 from check_oracles import compare, duck
 from tastemill.operators import topk
+from tastemill.operators.als import ALSConfig
 from tastemill.operators.cleaning import remove_zeros
-from tastemill.plans import catalog
+from tastemill.plans import catalog, experiments
 from tastemill.sources import star
 from tastemill.staging import stage_table
 
@@ -75,3 +76,20 @@ def test_long_lists_are_pruned_too(spark, k):
     scores = star.interactions(spark, SF).select("user_id", "book_id", "rating")
     assert "WindowGroupLimit" in plan(topk.topk_list(scores, k))
     assert "WindowGroupLimit" in plan(topk.running_list(scores, k))
+
+
+def test_the_grid_is_searched_with_whole_fits(spark, monkeypatch):
+    """Every point has the iterations of any other fit; large fits do not run together."""
+    seen = {}
+
+    def fit(train, users, labels, config, run):
+        seen[config.rank, config.reg] = config.max_iter
+        return experiments._result_row(run, config, 0.0, {"users": 1, "map": 0.0, "ndcg": 0.0, "precision": 0.0}, experiments.Stopwatch(), 0.0)
+
+    monkeypatch.setattr(experiments, "_fit_and_score", fit)
+    assert catalog.builders()["grid_search"](spark, SF).count() == 16
+    assert set(seen.values()) == {ALSConfig().max_iter} == {10}
+    assert seen.keys() == {(rank, reg) for rank in experiments.GRID_RANKS for reg in experiments.GRID_REGS}
+    large = experiments.fit_bytes(ALSConfig(rank=500), 900_000, 1_200_000, 25_000_000)
+    small = experiments.fit_bytes(ALSConfig(rank=500), 15_000, 20_000, 500_000)
+    assert large > catalog.GRID_BYTES > 4 * small
