@@ -532,3 +532,41 @@ def test_gradients_are_slopes(scale):
         step = 1e-5
         ends = [surprise(double | {name: double[name] + sign * step * way}) for sign in (1, -1)]
         assert (ends[0] - ends[1]) / (2 * step) == pytest.approx(np.linalg.norm(grad), rel=2e-2)
+
+
+@pytest.mark.parametrize("most", [5_000, 10])
+def test_an_index_is_fitted_on_all_passages(spark, monkeypatch, most):
+    """A'A has every window of every document, copies of a text included, and the items; by brute force."""
+    monkeypatch.setattr(latent_leaks, "PASSAGES", 20)
+    monkeypatch.setattr(latent_leaks, "GRAM_TERMS", most)
+    monkeypatch.setattr(latent_leaks, "GRAM_CELLS", 100)
+    seen = {}
+
+    def svd(product, size, rank):
+        seen["found"] = product(np.eye(size))
+        return np.eye(size)[:, :rank]
+
+    monkeypatch.setattr(latent_leaks, "randomized_svd", svd)
+    draw = random.Random(2)
+    word = lambda: f"w{draw.randrange(30)}"
+    docs = [(k, " ".join(word() for _ in range(draw.choice([0, 1, 15, 16, 17, 48, 49, 130])))) for k in range(60)]
+    docs += [(k, docs[5][1]) for k in range(60, 65)]
+    items = [" ".join(word() for _ in range(n)) for n in (7, 60)]
+    terms = sorted(set(" ".join(items).split()))
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(3)
+    index = latent_leaks.build_index(frame, [1, 2], items, {})
+
+    def summed(texts):
+        total, n = np.zeros((len(terms), len(terms))), 0
+        for words in (t.split() for t in texts):
+            for start in range(0, len(words), latent_leaks.STRIDE):
+                own = [terms.index(w) for w in words[start : start + latent_leaks.WINDOW] if w in terms]
+                row = np.bincount(own, index.weights[own], minlength=len(terms)) if own else np.zeros(len(terms))
+                total += np.outer(row, row) / max(1e-9, (index.weights[own] ** 2).sum())
+                n += 1
+        return total, n
+
+    of_docs, n = summed(t for _, t in docs)
+    assert n > 100
+    want = of_docs * 20 / n + summed(items)[0] * latent_leaks.ITEM_WEIGHT**2
+    assert index.terms == terms and np.allclose(seen["found"], want, rtol=1e-4, atol=1e-4)
