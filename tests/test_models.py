@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tastemill import staging
 from tastemill.operators.als import ALSConfig, fit_als, recommend, recommend_long
 from tastemill.operators.blend import attach_review_flag
 from tastemill.plans import experiments, prep
@@ -156,3 +157,38 @@ def test_laps_of_stored_runs(spark, tagged, tmp_path):
     assert first.fit_s > 0 and again.fit_s == 0 and first.rec_s > again.rec_s > 0
     liked = pick(tagged, "val").filter("rating > 3").select("user_id").distinct()
     assert first.users == again.users == liked.count()
+
+
+def test_how_often_lineage_is_cut_does_not_change_a_fit(spark):
+    """A checkpoint is about files, not about what is fitted."""
+    from dataclasses import replace
+
+    models = [fit_als(data.few(spark), replace(QUICK, max_iter=6, checkpoint_interval=every)) for every in (1, 5)]
+    first, second = (rows(m.userFactors) for m in models)
+    assert [r[0] for r in first] == [r[0] for r in second]
+    assert all(abs(x - y) < 1e-5 for a, b in zip(first, second) for x, y in zip(a[1], b[1]))
+
+
+def test_garbage_is_collected_while_a_fit_runs(spark, monkeypatch):
+    """Shuffles that nothing reads any more go while the step still runs, not half an hour later."""
+    import os
+    import time
+
+    monkeypatch.setattr(staging, "COLLECT_EVERY", 0.2)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return sum(str(f).endswith(".data") for f in local.getAllFiles().mkString("\n").splitlines())
+
+    assert os.path.isdir(folder)
+    with staging.collected(spark):
+        time.sleep(3)
+        before = files()
+        for _ in range(3):
+            spark.range(1_000).repartition(3, "id").write.format("noop").mode("overwrite").save()
+        for _ in range(60):
+            if files() <= before:
+                break
+            time.sleep(0.5)
+        assert files() <= before
