@@ -159,6 +159,27 @@ def test_laps_of_stored_runs(spark, tagged, tmp_path):
     assert first.users == again.users == liked.count()
 
 
+@pytest.mark.parametrize("most,blocks", [(10**6, 2), (20, 9)])
+def test_blocks_and_shuffles_of_a_fit_are_bounded(spark, monkeypatch, most, blocks):
+    """Blocks hold a bounded number of ratings, whatever the data; each iteration lets go of the shuffles before it."""
+    from tastemill.operators import als
+
+    made, whole = {}, als.ALS
+
+    def seen(**settings):
+        made.update(settings)
+        return whole(**settings)
+
+    monkeypatch.setattr(als, "ALS", seen)
+    monkeypatch.setattr(als, "RATINGS_PER_BLOCK", most)
+    ratings = data.many(spark).limit(180)
+    n = ratings.count()
+    model = fit_als(ratings, QUICK)
+    assert n == 180 and model.userFactors.count() == ratings.select("user_id").distinct().count()
+    assert made["numUserBlocks"] == made["numItemBlocks"] == blocks
+    assert made["checkpointInterval"] == 1 and ALSConfig().checkpoint_interval == 1
+
+
 def test_how_often_lineage_is_cut_does_not_change_a_fit(spark):
     """A checkpoint is about files, not about what is fitted."""
     from dataclasses import replace
