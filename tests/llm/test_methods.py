@@ -570,3 +570,27 @@ def test_an_index_is_fitted_on_all_passages(spark, monkeypatch, most):
     assert n > 100
     want = of_docs * 20 / n + summed(items)[0] * latent_leaks.ITEM_WEIGHT**2
     assert index.terms == terms and np.allclose(seen["found"], want, rtol=1e-4, atol=1e-4)
+
+
+@pytest.mark.parametrize("few", [10**6, 10])
+def test_every_round_learns_from_all_windows(spark, monkeypatch, few):
+    """However many windows there are, each is gone through in each round."""
+    monkeypatch.setattr(attention_lm, "REPEATED", few)
+    seen, deal = [], attention_lm.of_round
+
+    def dealt(windows, n_windows, number):
+        part = deal(windows, n_windows, number)
+        seen.append(sorted(r.h for r in part.collect()))
+        return part
+
+    monkeypatch.setattr(attention_lm, "of_round", dealt)
+    draw = np.random.default_rng(3)
+    ids = attention_lm.packed(draw.integers(0, 50, (120, attention_lm.WIDTH + 1)), attention_lm.END + 1).to_pylist()
+    windows = spark.createDataFrame([(k << 20, bytearray(w)) for k, w in enumerate(ids)], "h BIGINT, ids BINARY").cache()
+    known = attention_lm.Vocabulary(np.ones(attention_lm.END + 1), np.ones(attention_lm.END + 1, dtype=bool))
+    model = attention_lm.train_in_tasks(windows, known, 120)
+    each = len(seen) // attention_lm.ROUNDS
+    assert each == (1 if few > 120 else attention_lm.ROUNDS)
+    for k in range(attention_lm.ROUNDS):
+        assert sorted(h for part in seen[k * each : (k + 1) * each] for h in part) == [h << 20 for h in range(120)]
+    assert np.abs(model.embed - attention_lm.initial(known)["embed"]).max() > 0
